@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import decontam, jaccard, quality
+from . import decontam, jaccard, mixing, quality, suffixes
 
 
 def op2_winnow_decontamination(spark, sf_dir):
@@ -14,16 +14,25 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     return jaccard.components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op6_pfair_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.schedule(docs, power=0.7, frame=256, block=16)
+
+
+def op7_suffix_dedup(spark, sf_dir):
+    return suffixes.digests(table(spark, sf_dir, "documents"), width=100)
+
+
 def op9_bradley_terry_quality(spark, sf_dir):
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), at=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op2_winnow_decontamination, op4_ngram_jaccard_join, op9_bradley_terry_quality)}
+QUERIES = {f.__name__: f for f in (op2_winnow_decontamination, op4_ngram_jaccard_join, op6_pfair_mixing, op7_suffix_dedup, op9_bradley_terry_quality)}
 
 ORACLE_SQL = {
     "op2_winnow_decontamination": r"""
-        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM documents),
-        b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w FROM benchmark),
+        WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+        b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
         bw AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS g
                FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i) WHERE len(w) > 0),
         lens AS (SELECT DISTINCT n FROM bw),
