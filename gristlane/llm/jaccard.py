@@ -410,3 +410,16 @@ def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     named = materialize(at.join(low, "component").join(degree, "sid", "left").select(F.col("sid"), "component_id", "n_links"), "named")
     out = rows.select("doc_id", "sid", "n").join(named, "sid", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def survivors(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """docs with one row of each group: that of the smallest (id, text hash); rows without a shingle all stay."""
+    rows, classes, links = join(docs, k, num, den)
+    comp = connected_components(links, "a", "b").withColumnRenamed("node", "sid")
+    at = classes.select("sid", "rep").join(comp, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    first = at.groupBy("component").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("_d"), F.col("rep.thash").alias("_h"))
+    keep = materialize(first.union(rows.where("n = 0").select("doc_id", "thash").distinct()), "keep")
+    out = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_d"]) & F.xxhash64(docs["text"]).eqNullSafe(keep["_h"]), "left_semi")
+    # rows that repeat both id and text are copies of one another too
+    twice = rows.where("n > 0").groupBy("doc_id", "thash").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
+    return out.dropDuplicates(["doc_id", "text"]) if twice else out

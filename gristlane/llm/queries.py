@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import decontam, jaccard, mixing, quality, suffixes
+from . import decontam, html, jaccard, licenses, mixing, quality, suffixes, warc
 
 
 def op2_winnow_decontamination(spark, sf_dir):
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_dictionary_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"), least=0)
+
+
 def op4_ngram_jaccard_join(spark, sf_dir):
     return jaccard.components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op5_license_diagonals(spark, sf_dir):
+    return licenses.labels(table(spark, sf_dir, "documents"))
+
+
 def op6_pfair_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.schedule(docs, power=0.7, frame=256, block=16)
@@ -23,11 +31,15 @@ def op7_suffix_dedup(spark, sf_dir):
     return suffixes.digests(table(spark, sf_dir, "documents"), width=100)
 
 
+def op8_html_tree_scoring(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_bradley_terry_quality(spark, sf_dir):
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), at=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op2_winnow_decontamination, op4_ngram_jaccard_join, op6_pfair_mixing, op7_suffix_dedup, op9_bradley_terry_quality)}
+QUERIES = {f.__name__: f for f in (op2_winnow_decontamination, op3_dictionary_warc, op4_ngram_jaccard_join, op5_license_diagonals, op6_pfair_mixing, op7_suffix_dedup, op8_html_tree_scoring, op9_bradley_terry_quality)}
 
 ORACLE_SQL = {
     "op2_winnow_decontamination": r"""
