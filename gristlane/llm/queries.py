@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import decontam, html, jaccard, licenses, mixing, quality, suffixes, warc
+from . import ann, decontam, html, jaccard, licenses, mixing, quality, quotes, suffixes, warc
+
+
+def op1_learned_partition_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"), k=5, parts=16, sample=4096)
 
 
 def op2_winnow_decontamination(spark, sf_dir):
@@ -39,7 +44,11 @@ def op9_bradley_terry_quality(spark, sf_dir):
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), at=0.3)
 
 
-QUERIES = {f.__name__: f for f in (op2_winnow_decontamination, op3_dictionary_warc, op4_ngram_jaccard_join, op5_license_diagonals, op6_pfair_mixing, op7_suffix_dedup, op8_html_tree_scoring, op9_bradley_terry_quality)}
+def op10_quotation_linking(spark, sf_dir):
+    return quotes.threads(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_learned_partition_ann, op2_winnow_decontamination, op3_dictionary_warc, op4_ngram_jaccard_join, op5_license_diagonals, op6_pfair_mixing, op7_suffix_dedup, op8_html_tree_scoring, op9_bradley_terry_quality, op10_quotation_linking)}
 
 ORACLE_SQL = {
     "op2_winnow_decontamination": r"""
