@@ -3,7 +3,8 @@
 Item words are cut into windows.  Of every window of a text the smallest k-gram hash is kept, so a
 text that holds a window holds its fingerprint at the same place: every shared span as long as a
 window shares one.  Document fingerprints meet the items' fingerprints in one equi-join; what is
-found extends to whole windows, compared word by word.
+found extends to whole windows, whose words are compared by their
+64-bit hashes.
 
 Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are lower-cased.
 
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
 from ..session import materialize
+from .sizes import small
 
 #: ASCII that separates words, each put to a blank beside A-Z to a-z
 _SEPARATORS = "".join(chr(c) for c in range(1, 128) if not chr(c).isalnum() and c != 32)
 #: bits of a packed fingerprint that hold the place; the rest hold the hash
 PLACE = 27
+#: distinct fingerprints of the benchmark (16 bytes each) that are sent to every executor; more are joined by a shuffle
+BROADCAST = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -71,11 +75,11 @@ def fingerprints(h: Column, window: int, k: int) -> Column:
 
 
 def _windows(bench: DataFrame, window: int, k: int) -> DataFrame:
-    """item_id, len, words (joined by blanks), fp, at (place of the fingerprint in the window) of every window."""
+    """item_id, len and the word hashes h of every window."""
     w = bench.where("item_id is not null").select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0)
     w = w.withColumn("len", F.least(F.size("w"), F.lit(window)))
     w = w.select("item_id", "len", F.explode(let(F.col("w"), lambda v: F.transform(F.sequence(F.lit(1), F.size(v) - F.col("len") + 1), lambda i: F.slice(v, i, F.col("len"))))).alias("w"))
-    w = w.select("item_id", "len", F.array_join("w", " ").alias("words"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
+    w = w.select("item_id", "len", F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
     return w.distinct()
 
 
@@ -91,36 +95,57 @@ def hits(docs: DataFrame, bench: DataFrame, window: int = 13, k: int = 5) -> tup
     lengths = sorted(r[0] for r in grid.select("len").distinct().collect())
     keyed = None
     for n in lengths:
-        part = grid.where(F.col("len") == n).withColumn("fp", _pick(F.col("h"), n, k)).drop("h")
+        part = grid.where(F.col("len") == n).withColumn("fp", _pick(F.col("h"), n, k))
         keyed = part if keyed is None else keyed.unionByName(part)
     base = docs.select("doc_id", "text").withColumn("thash", F.xxhash64("text"))
     if keyed is None:
         texts = base.select("doc_id", "thash", F.size(words(F.col("text"))).cast("long").alias("n_words"))
         return texts, texts.limit(0).select("doc_id", "thash", F.lit(None).cast(bench.schema["item_id"].dataType).alias("item_id"), F.lit(0).alias("start"), F.lit(0).alias("len"))
-    keyed = materialize(keyed.select("item_id", "len", "words", (F.shiftright("fp", PLACE) * 16 + F.col("len")).alias("fp"), F.expr(f"cast(fp & {(1 << PLACE) - 1} as int)").alias("at")), "keyed")
+    keyed = keyed.withColumn("at", F.expr(f"cast(fp & {(1 << PLACE) - 1} as int)")).withColumn("fp", F.shiftright("fp", PLACE) * 16 + F.col("len"))
+    keyed = materialize(keyed.select("item_id", "len", "h", "fp", "at"), "keyed")
     fps = keyed.select("fp").distinct()
+    few = fps.count() <= BROADCAST
+
+    def packed(h: Column, n: int) -> Column:
+        wide = window - min(k, n)  # words before a fingerprint that its window may begin with
+
+        def one(p: Column) -> Column:
+            place = (p % (1 << PLACE)).cast("int")
+            place = F.when(place < 0, place + (1 << PLACE)).otherwise(place)
+            low = F.greatest(place - wide, F.lit(0))
+            near = F.slice(h, low + 1, place - low + n) if few else F.lit(None).cast("array<bigint>")
+            return F.struct((F.shiftright(p, PLACE) * 16 + n).alias("fp"), place.cast("long").alias("p"), near.alias("near"))
+
+        return F.transform(fingerprints(h, n, min(k, n)), one)
 
     h = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
-    rows = base.select("doc_id", "thash", h.alias("h"))
+    size = lambda h: F.array(F.struct(F.lit(None).cast("long").alias("fp"), F.size(h).cast("long").alias("p"), F.lit(None).cast("array<bigint>").alias("near")))
+    flat = base.select("doc_id", "thash", F.explode(let(h, lambda h: F.concat(size(h), *[packed(h, n) for n in lengths]))).alias("x"))
+    flat = flat.select("doc_id", "thash", "x.fp", "x.p", "x.near")
+    known = fps.withColumn("known", F.lit(True))
+    seen = flat.join(F.broadcast(known) if few else known, "fp", "left").where("fp is null or known").drop("known")
+    seen = materialize(seen, "seen")
+    texts = seen.where("fp is null").select("doc_id", "thash", F.col("p").alias("n_words"))
 
-    def packed(h: Column, n: int) -> Column:
-        return F.transform(fingerprints(h, n, min(k, n)), lambda p: F.struct((F.shiftright(p, PLACE) * 16 + n).alias("fp"), p.alias("p")))
+    # A fingerprint extends to each window that has it at some place, and the hashes of all its words are compared.
+    hit = seen.where("fp is not null").distinct() if few else _again(base, seen.where("fp is not null").select("doc_id", "thash", "fp", "p").distinct(), window, k)
+    hit = hit.join(keyed.select("fp", "len", "at", F.col("h").alias("want"), "item_id"), "fp").withColumn("start", F.col("p").cast("int") - F.col("at")).where("start >= 0")
+    low = F.greatest(F.col("p").cast("int") - (window - F.least(F.lit(k), F.col("len"))), F.lit(0))
+    hit = hit.where(F.slice("near", F.col("start") - low + 1, F.col("len")) == F.col("want"))
+    return texts, materialize(hit.select("doc_id", "thash", "item_id", "start", "len").distinct(), "found")
+
+
+def _again(base: DataFrame, spots: DataFrame, window: int, k: int) -> DataFrame:
+    """spots (doc_id, thash, fp, p) with the hashes of the words near each, from a second reading of their texts."""
+    # of one text, so no more than its own fingerprints
+    per = materialize(spots.groupBy("doc_id", "thash").agg(F.collect_list(F.struct("fp", "p")).alias("at")), "spots").select(F.col("doc_id").alias("d"), F.col("thash").alias("t"), "at")
+    rows = base.join(per, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("thash").eqNullSafe(F.col("t"))).select("doc_id", "thash", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"), "at")
 
-    flat = rows.select("doc_id", "thash", F.explode(let(F.col("h"), lambda h: F.concat(F.array(F.struct(F.lit(None).cast("long").alias("fp"), F.size(h).cast("long").alias("p"))), *[packed(h, n) for n in lengths]))).alias("x")).select("doc_id", "thash", F.col("x.fp").alias("fp"), F.col("x.p").alias("p"))
-    seen = flat.join(fps.withColumn("known", F.lit(True)), "fp", "left").where("fp is null or known")
-    seen = materialize(seen.select("doc_id", "thash", F.when(F.col("fp").isNull(), F.col("p")).alias("n_words"), "fp", F.when(F.col("fp").isNotNull(), F.expr(f"cast(p & {(1 << PLACE) - 1} as int)")).alias("place")), "seen")
-    texts = seen.where("fp is null").select("doc_id", "thash", "n_words")
+    def one(h: Column, a: Column) -> Column:
+        low = F.greatest(a["p"].cast("int") - (window - F.least(F.lit(k), (a["fp"] % 16 + 16) % 16)).cast("int"), F.lit(0))
+        return F.struct(a["fp"].alias("fp"), a["p"].alias("p"), F.slice(h, low + 1, a["p"].cast("int") - low + window).alias("near"))
 
-    # Texts with a shared fingerprint are read once more, and their windows there compared word by word.
-    spots = seen.where("fp is not null").select("doc_id", "thash", "fp", "place").distinct()
-    starts = keyed.select("fp", "len", "at").distinct()
-    cand = materialize(spots.join(starts, "fp").select("doc_id", "thash", "len", (F.col("place") - F.col("at")).alias("start")).where("start >= 0").groupBy("doc_id", "thash").agg(F.collect_set(F.struct("start", "len")).alias("at")), "candidates")
-    c = cand.select(F.col("doc_id").alias("c_doc"), F.col("thash").alias("c_hash"), "at")
-    again = base.join(c, F.col("doc_id").eqNullSafe(F.col("c_doc")) & F.col("thash").eqNullSafe(F.col("c_hash"))).select("doc_id", "thash", words(F.col("text")).alias("w"), "at")
-    spans = again.select("doc_id", "thash", F.explode(let(F.col("w"), lambda w: F.transform("at", lambda a: F.struct(a["start"].alias("start"), a["len"].alias("len"), F.array_join(F.slice(w, a["start"] + 1, a["len"]), " ").alias("words"))))).alias("x"))
-    spans = spans.select("doc_id", "thash", F.col("x.start").alias("start"), F.col("x.len").alias("len"), F.col("x.words").alias("words"))
-    found = spans.join(keyed.select("item_id", "len", "words"), ["len", "words"]).select("doc_id", "thash", "item_id", "start", "len").distinct()
-    return texts, materialize(found, "found")
+    return rows.select("doc_id", "thash", F.explode(let(F.col("h"), lambda h: F.transform("at", lambda a: one(h, a)))).alias("x")).select("doc_id", "thash", "x.fp", "x.p", "x.near").distinct()
 
 
 def judged(texts: DataFrame, found: DataFrame, times: int = 20) -> DataFrame:
@@ -154,4 +179,5 @@ def clean(docs: DataFrame, bench: DataFrame, window: int = 13, k: int = 5, times
     """docs without the rows that ``contamination`` judges contaminated."""
     bad = judged(*hits(docs, bench, window, k), times).where("contaminated")
     bad = materialize(bad.select(F.col("doc_id").alias("b_doc"), F.col("thash").alias("b_hash")).distinct(), "contaminated")
+    bad = small(bad)
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["b_doc"]) & F.xxhash64(docs["text"]).eqNullSafe(bad["b_hash"]), "left_anti")
