@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import words as W
+from .sizes import small
 
 U = np.uint64
 K = 32
@@ -281,7 +282,7 @@ def repeated(docs: DataFrame, width: int = 100, k: int = K) -> DataFrame:
     wanted = known.where("m > 1").select(F.col("f.d").alias("d"), F.col("f.h").alias("h"), F.struct("anchor", F.col("f.s").alias("start"), F.col("f.n").alias("n"), (F.col("m") > CROWD).alias("crowded")).alias("w"))
     # of one text, so no more than its own segments
     wanted = materialize(wanted.groupBy("d", "h").agg(F.collect_list("w").alias("w")), "wanted")
-    texts = base.join(wanted, base["doc_id"].eqNullSafe(wanted["d"]) & (base["thash"] == wanted["h"])).select("doc_id", "thash", "text", "w")
+    texts = base.join(small(wanted, weight="2 + size(w)"), base["doc_id"].eqNullSafe(wanted["d"]) & (base["thash"] == wanted["h"])).select("doc_id", "thash", "text", "w")
     raw = texts.mapInArrow(_fetch(width), f"part long, doc_id {kind}, thash long, start int, raw binary")
     met = raw.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_resolve(width), f"doc_id {kind}, thash long, start int, n int")
     return again.unionByName(met)
@@ -332,6 +333,7 @@ def _with_spans(docs: DataFrame, width: int, k: int) -> DataFrame:
     found = materialize(repeated(docs, width, k), "repeated")
     # of one text, so no more than its own windows
     per = found.groupBy("doc_id", "thash").agg(F.collect_set(F.struct("start", "n")).alias("_spans")).select(F.col("doc_id").alias("_d"), F.col("thash").alias("_h"), "_spans")
+    per = small(materialize(per, "spans"), weight="2 + size(_spans)")
     return docs.join(per, docs["doc_id"].eqNullSafe(F.col("_d")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_h")), "left").drop("_d", "_h")
 
 
