@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import monitor
+from . import curation, evaluation, monitor
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (monitor,):
+for _module in (monitor, curation, evaluation):
     QUERIES.update(_module.QUERIES)
     ORACLE_SQL.update(_module.ORACLE_SQL)
