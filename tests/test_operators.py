@@ -1,0 +1,144 @@
+"""Micro fixtures with known answers: ties, bounds, nulls."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gristlane.functions import policy as P
+from gristlane.functions import scalars as S
+from gristlane.operators import dedup, graph, joins, metrics, sampling, sessions, similarity
+from gristlane.sources import readers
+
+
+def one(spark, **cols):
+    return spark.range(1).select(*[v.alias(k) for k, v in cols.items()]).first()
+
+
+def box(*v):
+    return tuple(F.lit(float(x)) for x in v)
+
+
+def test_boxes(spark):
+    r = one(spark, a=S.iou(box(0, 0, 10, 10), box(0, 0, 10, 10)), b=S.iou(box(0, 0, 10, 10), box(20, 20, 30, 30)), c=S.iou(box(0, 0, 0, 0), box(0, 0, 0, 0)), d=S.iou(box(0, 0, 0, 0), box(0, 0, 0, 0), None), e=S.assignment(F.lit(0.5)), f=S.assignment(F.lit(0.1)), g=S.assignment(F.lit(0.3)))
+    assert tuple(r) == (1.0, 0.0, 0.0, None, "truth", "background", "ambiguous")
+    pts = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((0, 0), (4, 0), (4, 3))])
+    (x1, y1, x2, y2), twice = S.polygon_box(pts)
+    assert tuple(one(spark, a=x1, b=y1, c=x2, d=y2, e=twice)) == (0, 0, 4, 3, 12)
+
+
+def test_weight(spark):
+    def w(cls, grams, ratio):
+        return S.weight_anomaly(F.lit(cls), F.lit(grams), F.lit(ratio).cast("double"))
+
+    r = one(spark, a=w("pet", 30.0, 0.05), b=w("pet", 30.1, 0.05), c=w("pet", 37.0, 0.10), d=w("pet", 60.1, 0.28), e=w("glass", 1000.1, None), f=w("other", 1e9, None), g=w("pet", 301.0, None), h=w("glass", 999.0, 0.5))
+    assert tuple(r) == (False, True, False, True, True, False, True, False)
+
+
+def test_guidance(spark):
+    t, f, n = F.lit(True), F.lit(False), F.lit(None).cast("boolean")
+    every = P.guidance(F.lit("pet"), t, t, t, t, t, f)
+    r = one(spark, a=every, b=P.guidance(F.lit("paper"), t, n, t, n, n, n), c=P.guidance(F.lit("can"), n, n, n, n, n, n))
+    assert r.a == [c for c in P.GUIDANCE if c != "WEIGHT_ANOMALY"] and r.b == ["WEIGHT_ANOMALY"] and r.c == []
+
+
+def test_text(spark):
+    r = one(spark, a=S.basename(F.lit("C:\\x\\Y.JPG")), b=S.unpad_base64url(F.lit("YS9i_w".replace("_w", ""))), c=S.distinct_list(F.lit("A, b,a ,,B")), d=S.valid_name(F.lit("a b")), e=S.external_class(F.lit(1)), f=S.category(F.lit("xbottle can"), {"can": 1, "bottle": 2}, 3), g=S.category(F.lit("none"), {"can": 1}, 3))
+    assert tuple(r) == ("y.jpg", "a/b", ["a", "b"], False, 3, 1, 3)
+
+
+def test_nearest(spark):
+    t = dt.datetime(2026, 1, 1, 12)
+    at = lambda s: t + dt.timedelta(seconds=s)
+    left = spark.createDataFrame([(1, "u", at(0)), (2, "u", at(1000)), (3, "v", at(0)), (4, "u", at(500))], "l int, k string, lt timestamp")
+    right = spark.createDataFrame([(1, "u", at(120)), (2, "u", at(-120)), (3, "u", at(1121)), (4, "u", at(499)), (5, "u", at(501))], "r int, k string, rt timestamp")
+    got = {x.l: x.r for x in joins.nearest(left, right, "k", "lt", "rt", 120, "l", "r").collect()}
+    assert got == {1: 1, 2: None, 3: None, 4: 4}
+
+
+def test_sessions(spark):
+    t = dt.datetime(2026, 1, 1)
+    rows = [(1, "a", t), (2, "a", t + dt.timedelta(seconds=60)), (3, "a", t + dt.timedelta(seconds=121)), (4, "a", None), (5, "a", None)]
+    got = sorted(r.n for r in sessions.gap_sessions(spark.createDataFrame(rows, "id int, k string, ts timestamp"), "k", "ts", "id", 60).collect())
+    assert got == [1, 1, 1, 2]
+
+
+@pytest.mark.parametrize("distance", range(8))
+def test_hamming(spark, distance):
+    rng = random.Random(distance)
+    values = [rng.getrandbits(64) for _ in range(60)]
+    values += [v ^ sum(1 << b for b in rng.sample([*range(63), 63], rng.randint(0, 8))) for v in values]
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame(list(enumerate(signed)), "k long, v long")
+    want = {(i, j, (values[i] ^ values[j]).bit_count()) for i in range(120) for j in range(i + 1, 120) if (values[i] ^ values[j]).bit_count() <= distance}
+    assert {tuple(r) for r in similarity.hamming_join(df, "k", "v", distance).collect()} == want
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(100, 200), (200, 150), (7, 7), (300, 300), (None, 1)]
+    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == {**{i: 0 for i in range(31)}, 100: 100, 200: 100, 150: 100, 300: 300}
+    assert graph.connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_stride_and_quota(spark):
+    df = spark.range(103).withColumnRenamed("id", "k").repartition(5)
+    for cap in (1, 7, 50, 103, 200):
+        want = {int(i * (103 / cap)) for i in range(cap)} if cap < 103 else set(range(103))
+        assert {r.k for r in sampling.stride(df, cap, "k").collect()} == want
+    assert sampling.cyclic_repeat(df.withColumn("g", F.lit(1)), "g", 250, "s", "k").count() == 250
+    assert sampling.oldest_first_budget(df.withColumn("size", F.lit(10)), "k", "size", "k", 55).count() == 5
+
+
+def test_metrics(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), ("-1", "a"), ("c", None)], "t string, p string")
+    s = {r["class"]: r for r in metrics.class_scores(metrics.confusion(df, "t", "p")).collect()}
+    assert s["a"].recall == 0.5 and s["b"].precision == 0.5 and s["c"].recall == 0 and s["none"].support == 0
+    m = metrics.summary(metrics.class_scores(metrics.confusion(df, "t", "p"))).first()
+    assert m.accuracy == 0.5 and abs(m.balanced_accuracy - 0.5) < 1e-12 and m.unsupported == 1
+    d = spark.range(50)
+    assert metrics.digest(d, "id").first() == metrics.digest(d.repartition(7), "id").first()
+
+
+def test_precedence(spark):
+    df = spark.createDataFrame([(1, "s1", "o1", "train"), (2, "s1", "o2", "val"), (3, "s3", "o2", "train"), (4, "s4", "o1", "train")], "k int, s string, o string, part string")
+    got = {r.k: r.dropped_for for r in dedup.partition_precedence(df, ["s", "o"], "part", F.when(F.col("part") == "val", 1).otherwise(0), "k").collect()}
+    assert got == {1: "s", 2: None, 3: "o", 4: None}
+
+
+def test_label_lines(spark):
+    texts = ["1 0.5 0.5 0.2 0.2", "", None, "1 0.5 0.5 0.2 0.2\n2 0 0 0 0", "x 0 0 1 1", "1 2 3", "9 .5 .5 .1 .1", "1 .5 .5 0 .1", "1 1.5 .5 .1 .1"]
+    value, reason = readers.label_line(F.col("t"))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", value.alias("v"), reason.alias("r")).orderBy("i").collect()
+    assert [r.r for r in rows] == [None, None, "missing_label", "multiple_objects", "not_a_number", "malformed_line", "unknown_class", "empty_box", "out_of_range"]
+    assert rows[0].v.class_id == 1 and rows[1].v is None
+
+
+def test_sources(spark, tmp_path):
+    (tmp_path / "2026-01-01").mkdir()
+    (tmp_path / "2026-01-01/a.json").write_text('{\n"id": "a"}')
+    (tmp_path / "2026-01-01/b.json").write_text("{broken")
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.StringType())])
+    assert [r.id for r in readers.captures(spark, str(tmp_path), schema, 10).collect()] == ["a"]
+    (tmp_path / "log.jsonl").write_text('{"id": "1", "ts": "2026-01-01T00:00:00Z"}\nnot json\n{"id": "2", "ts": "2026-01-01T00:00:00"}\n')
+    log = T.StructType([*schema.fields, T.StructField("ts", T.StringType())])
+    assert [r.id for r in readers.json_lines(spark, str(tmp_path / "log.jsonl"), log, "ts").collect()] == ["1"]
+    with pytest.raises(Exception):
+        readers.json_lines(spark, str(tmp_path / "log.jsonl"), log, strict=True).collect()
+    with pytest.raises(ValueError):
+        readers.require_unique(spark.createDataFrame([(1,), (1,)], "k int"), "k")
+
+
+def test_streaming(spark, tmp_path):
+    from gristlane.streaming import usage
+
+    t = dt.datetime(2026, 1, 1)
+    rows = [(1, "a", 1.0, t), (2, "a", 2.0, t + dt.timedelta(hours=1)), (3, "b", 3.0, t + dt.timedelta(days=3))]
+    df = spark.createDataFrame(rows, "id int, kind string, value double, ts timestamp")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    s = usage.usage(usage.stream(spark, str(tmp_path / "in"), df.schema), "ts", "kind")
+    usage.into(s, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
+    assert [(r.kind, r.n, r.total) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("a", 2, 3.0)]
