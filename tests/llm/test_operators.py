@@ -1,0 +1,281 @@
+"""Every operator against brute force on small fixtures, with nulls, ties, repeats and empty tables."""
+
+import base64
+import hashlib
+import re
+
+import numpy as np
+import pytest
+
+from gristlane.llm import ann, decontam, html, jaccard, licenses, mixing, quality, quotes, suffixes, warc
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, sid long, n int, score double"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def low(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def docs(spark, texts, ids=None):
+    ids = range(len(texts)) if ids is None else ids
+    return spark.createDataFrame([(i, t, "en", None if (i or 0) % 5 == 4 else f"s{(i or 0) % 3 if (i or 0) % 2 else 0}", len(t or ""), 1, 2, 0.5) for i, t in zip(ids, texts)], DOCS)
+
+
+def prose(seed, n):
+    rng = np.random.default_rng(seed)
+    return " ".join(f"w{x}" for x in rng.integers(0, 400, n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    base = [prose(i, 40 + 17 * i) for i in range(12)]
+    edited = []
+    for i, t in enumerate(base):
+        w = t.split()
+        w[len(w) // 2] = "changed"
+        edited.append(" ".join(w))
+    passage = prose(99, 60)
+    mixed = [prose(50 + i, 30) + " " + passage + " " + prose(70 + i, 30) for i in range(5)]
+    return [*base, *edited, *mixed, base[3], base[3], None, "", "one", "two words", "É ünïcode Straße straße", "x " * 3000, "a\tb\nc d", prose(7, 20000), "MIT License and the Apache\nlicense, GNU General Public License mit license"]
+
+
+def test_jaccard_components(spark, corpus):
+    def shingles(text, k):
+        w = SPACED.findall(low(text))
+        return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
+
+    got = {r.doc_id: r for r in jaccard.components(docs(spark, corpus)).collect()}
+    sets = [shingles(t, 4) for t in corpus]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    assert {i: (len(s), find(i)) for i, s in enumerate(sets)} == {i: (r.n_shingles, r.component_id) for i, r in got.items()}
+
+
+def test_jaccard_dominated_groups(spark):
+    """A large group of near copies meets through frequent keys and loses no link."""
+    rng = np.random.default_rng(3)
+    base = prose(1, 120).split()
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for p in rng.choice(120, int(rng.integers(0, 7)), replace=False):
+            w[p] = f"e{i}x{p}"
+        texts.append(" ".join(w))
+    got = {r.doc_id: r.component_id for r in jaccard.components(docs(spark, texts)).collect()}
+    sets = [frozenset(tuple(t.split()[i : i + 4]) for i in range(117)) for t in texts]
+    seen, want = set(), {}
+    for i in range(150):
+        if i in seen:
+            continue
+        stack, comp = [i], {i}
+        while stack:
+            x = stack.pop()
+            for y in range(150):
+                if y not in comp and 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y]):
+                    comp.add(y)
+                    stack.append(y)
+        seen |= comp
+        want.update(dict.fromkeys(comp, min(comp)))
+    assert got == want
+
+
+def test_jaccard_survivors(spark, corpus):
+    d = docs(spark, [*corpus, corpus[0]], [*range(len(corpus)), 0])  # the first row once more
+    left = jaccard.survivors(d)
+    assert left.columns == d.columns
+    ids = sorted(r.doc_id for r in left.collect())
+    assert len(ids) == len(set(ids)) and 0 in ids and not {23, 29, 30} & set(ids)
+    assert jaccard.components(d.limit(0)).count() == 0
+
+
+def test_suffix_dedup(spark, corpus):
+    texts = [*corpus, "ab" * 300, None]
+    got = {r.doc_id: r for r in suffixes.digests(docs(spark, texts)).collect()}
+    seen = set()
+    for i, t in enumerate(texts):
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - 99):
+            if b[p : p + 100] in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(b[p : p + 100])
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        spans = sum(1 for p, g in enumerate(gone) if g and not (p and gone[p - 1]))
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    out = suffixes.remove(docs(spark, texts))
+    assert out.columns == docs(spark, texts).columns and out.count() == len(texts)
+    assert suffixes.digests(docs(spark, texts).limit(0)).count() == 0
+
+
+def test_suffix_order():
+    rng = np.random.default_rng(2)
+    texts = [bytes(rng.integers(97, 100, int(rng.integers(0, 15))).astype(np.uint8)) for _ in range(40)]
+    text, start = suffixes.suffix_order(texts)
+    order = [texts[a][b:] for a, b in zip(text, start)]
+    assert order == sorted(order) and len(order) == sum(map(len, texts)) + len(texts)
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_decontamination(spark, corpus, broadcast, monkeypatch):
+    monkeypatch.setattr(decontam, "BROADCAST", broadcast)
+    items = [(1, " ".join(corpus[2].split()[5:40])), (2, "two words"), (3, "License and THE apache license gnu general"), (4, None), (5, ""), (6, "one"), (7, corpus[24]), (None, "one"), (2, "gnu general public")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r for r in decontam.contamination(docs(spark, corpus), bench).collect()}
+    windows = {}
+    for i, t in items:
+        w = WORD.findall(low(t))
+        n = min(13, len(w))
+        for p in range(len(w) - n + 1 if n and i is not None else 0):
+            windows.setdefault(tuple(w[p : p + n]), set()).add(i)
+    for i, t in enumerate(corpus):
+        w, hit, ids = WORD.findall(low(t)), set(), set()
+        for n in {len(x) for x in windows}:
+            for p in range(len(w) - n + 1):
+                if (found := windows.get(tuple(w[p : p + n]))) is not None:
+                    hit.update(range(p, p + n))
+                    ids |= found
+        want = (len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w))
+        assert (got[i].n_words, got[i].n_hit, got[i].n_items, got[i].items_sha256, got[i].contaminated) == want
+    clean = decontam.clean(docs(spark, corpus), bench)
+    assert {r.doc_id for r in clean.collect()} == {i for i in got if not got[i].contaminated}
+    assert decontam.contamination(docs(spark, corpus), bench.limit(0)).where("n_hit > 0").count() == 0
+    assert decontam.contamination(docs(spark, corpus).limit(0), bench).count() == 0
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rows = [(1, "http://a", "<p>x</p>"), (2, "http://b", "<p>x</p>"), (3, None, None), (4, "http://c\r\nX: y", ""), (5, "u", "é" * 5000), (None, "n", "<p>x</p>"), (2, "http://b", "<p>x</p>"), (-7, "m", "minus")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(warc.round_trip(pages).collect(), key=repr)
+    last = {"<p>x</p>": 2, "": 4}
+    want = []
+    for i, _, t in rows:
+        b = (t or "").encode()
+        original = last.get(t or "", i)
+        want.append((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if i == original else "revisit", None if i == original else original))
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    folder = f"file://{tmp_path}/archives"
+    files = warc.write(pages, folder).collect()
+    raw = open(files[0].path.removeprefix("file://"), "rb").read()
+    assert raw[:4] == warc.MAGIC and sum(f.records for f in files) == len(rows)
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_licenses(spark, corpus):
+    extra = [*corpus, "noise " + licenses.TEMPLATES["bsd"][0].replace("binary forms", "binary and other forms") + " tail", "apache license apache license"]
+    got = {r.doc_id: r for r in licenses.labels(docs(spark, extra)).collect()}
+    for i, t in enumerate(extra):
+        w = WORD.findall(low(t))
+        places = [(p, label) for p in range(len(w)) for phrase, label in licenses.PHRASES.items() if w[p : p + len(phrase.split())] == phrase.split()]
+        r = got[i]
+        assert (r.n_words, r.n_base, r.base_labels) == (len(w), len(places), ",".join(sorted({x for _, x in places})))
+        assert (r.first_word, r.last_word) == (min((p for p, _ in places), default=None), max((p for p, _ in places), default=None))
+        assert {x for _, x in places} <= set(r.labels.split(",")) | {""} and 0 <= r.score <= 1
+    assert "bsd" in got[len(extra) - 2].labels
+    assert licenses.labels(docs(spark, corpus).limit(0)).count() == 0
+
+
+def test_mixing(spark):
+    texts = ["t"] * 700
+    rows = mixing.schedule(docs(spark, texts).withColumnRenamed("score", "slot"), power=0.5, frame=32, block=4).collect()
+    assert len(rows) == 700
+    blocks = {(r.source, r.block_no): r for r in rows}
+    assert all(r.release <= r.slot < r.due for r in blocks.values())
+    slots = sorted(r.slot for r in blocks.values())
+    assert len(set(slots)) == len(slots) and sorted(r.position for r in blocks.values()) == list(range(len(blocks)))
+    # less than one block off target at every slot until the first source ends
+    last = {}
+    for s, n in blocks:
+        last[s] = max(last.get(s, 0), blocks[s, n].slot)
+    end = min(last.values())
+    share = {s: sum(1 for (q, _), r in blocks.items() if q == s and r.slot < 32) / 32 for s in last}
+    for t in range(end):
+        for s in last:
+            have = sum(1 for (q, _), r in blocks.items() if q == s and r.slot <= t)
+            assert abs(have - share[s] * (t + 1)) < 1
+    assert mixing.schedule(docs(spark, texts).limit(0)).count() == 0
+
+
+def test_html():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header>Site</header><nav><a href=/>Menu</a></nav><div class="ad">Buy</div>
+    <article><h1>Head &amp; line</h1><p><b>First   part, with commas, of the text<br>goes on<p>Second &#233; part.</p><ul><li>One<li>Two</ul><form><input>Search</form></article>
+    <aside>Side</aside><div id="comments"><p>Nice, very nice, I think.</p></div><footer>&copy;</footer></body></html>"""
+    assert html.main_text(page) == "Head & line\nFirst part, with commas, of the text goes on\nSecond é part.\nOne\nTwo"
+    assert html.main_text(None) == html.main_text("") == "" and html.main_text("just text") == "just text"
+    assert html.main_text("<p>" * 3000 + "deep") == "deep" and html.main_text("<div>" * 5000 + "deep") == "deep"
+    assert html.main_text("<article><p>open, and never closed") == "open, and never closed"
+
+
+def test_html_table(spark):
+    pages = spark.createDataFrame([(1, "u", None), (1, "u", "<p>a</p>"), (None, None, "<article><p>b</p></article>")], "page_id long, url string, html string")
+    assert sorted(r.text for r in html.extract(pages).collect()) == ["", "a", "b"]
+    assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_quality(spark):
+    good, bad = [prose(i, 80) for i in range(200)], ["word! " * 60 + str(i) for i in range(60)]
+    d = docs(spark, [*good, *bad, None, "", "x" * 100000])
+    labels = spark.createDataFrame([(i, int(i < 200), 0) for i in range(260)] + [(None, 1, 0), (5, None, 0), (7, 9, 0)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.scores(d, labels).collect()}
+    assert len(got) == 263 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
+    import zlib
+
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    out = [i for i in range(260) if got[i].held_out]
+    assert np.mean([got[i].predicted == int(i < 200) for i in out]) > 0.95
+    again = {r.doc_id: r.score for r in quality.scores(d.repartition(3), labels).collect()}
+    assert all(abs(again[i] - r.score) < 1e-9 for i, r in got.items())
+    assert quality.scores(d, labels.limit(0)).count() == 263 and quality.scores(d.limit(0), labels).count() == 0
+
+
+def test_quality_kept_columns(spark):
+    d = docs(spark, [prose(1, 30), None])
+    model = quality.bradley_terry(np.zeros((0, quality.FEATURES)), np.zeros(0))
+    assert quality.score(d, model, out="score").columns == [*[c for c in d.columns if c != "score"], "score"]
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(900, 16)).astype(np.float32)
+    v[100:160] = v[7]  # equal vectors
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(1000, None), (1001, [0.0] * 16), (1002, [float("nan")] + [1.0] * 15), (1003, [1.0]), (None, [1.0] * 16), (1004, [])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.search(vectors, vectors.where("vec_id % 50 = 0"), k=5, sample=256).collect()
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 900, 50):
+        s = u @ u[q]
+        want = sorted((-round(x, 12), i) for i, x in enumerate(s) if i != q)[:5]
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [r[0] for r in mine] == [1, 2, 3, 4, 5] and all(abs(s[i] - x) < 1e-12 for _, i, x in mine)
+        hit += len({i for _, i in want} & {i for _, i, _ in mine})
+    assert hit / (18 * 5) >= 0.9
+    ties = [r.vec_id for r in sorted((r for r in got if r.query_id == 100), key=lambda r: r.rank)]
+    assert ties == [7, 101, 102, 103, 104]
+    few = ann.search(vectors.where("vec_id < 3"), vectors.where("vec_id = 0"), k=5)
+    assert few.count() == 2 and ann.search(vectors.limit(0), vectors, k=5).count() == 0
+
+
+def test_quotes(spark):
+    rows = [
+        (1, 0, "u", "Hello there\nhow are you\n\nSecond para"), (1, 1, "a", "On Monday Bob wrote:\n> hello  THERE how\n> are you\n\nFine thanks"), (1, 2, "u", ">> how are you\n> Fine thanks\nGreat"), (1, 3, "a", "No quote"),
+        (1, 4, "u", "> never said"), (2, 0, "u", None), (None, 0, "u", "> x"), (2, 1, "a", ""), (2, 0, "b", "> Fine thanks"), (1, 3, "a", "No quote"), (3, None, "u", "text"),
+    ]
+    m = spark.createDataFrame([(*r, 7) for r in rows], "conv_id long, turn long, role string, text string, root long")
+    out = quotes.threads(m)
+    got = {(r.conv_id, r.turn, r.role): r for r in out.collect()}
+    assert out.count() == len(rows)
+    assert [(got[1, t, x].parent_turn, got[1, t, x].root_turn, got[1, t, x].depth) for t, x in ((0, "u"), (1, "a"), (2, "u"), (3, "a"), (4, "u"))] == [(None, 0, 0), (0, 0, 1), (1, 0, 2), (None, 3, 0), (None, 4, 0)]
+    assert got[1, 1, "a"].reply == "Fine thanks" and got[1, 2, "u"].reply == "Great" and got[1, 2, "u"].n_linked == 2
+    assert got[2, 0, "b"].parent_turn is None and quotes.threads(m.limit(0)).count() == 0
