@@ -69,3 +69,16 @@ def effect(reason: Column, negative: Column, promoted: Column, was_right: Column
         .when(was_right & ~is_right, "harmful")
         .otherwise("wrong_to_wrong")
     )
+
+
+# Pairs of classes whose confident disagreement is looked at again.
+CONFLICTS = [("can", "plastic"), ("plastic", "paper"), ("plastic", "styrofoam"), ("vinyl", "paper"), ("pet", "glass"), ("glass", "plastic"), ("fluorescent", "glass"), ("fluorescent", "plastic")]
+
+
+def conflict_recheck(first: Column, confidence: Column, second: Column) -> Column:
+    """Whether a confident first opinion and a second one differ in a way that matters for safety."""
+    pair = F.concat_ws("/", F.least(first, second), F.greatest(first, second))
+    listed = pair.isin(*["/".join(sorted(p)) for p in CONFLICTS])
+    strict = (first == "plastic") & second.isin("paper", "styrofoam")
+    guarded = F.when(first.isin(*REJECTED), ~second.isin(*REJECTED)).otherwise(F.lit(False))
+    return F.coalesce(F.when(confidence < 0.85, False).when(strict, confidence >= 0.95).when(listed, True).otherwise(guarded), F.lit(False))

@@ -179,3 +179,43 @@ def valid_name(text: Column) -> Column:
 
 def safe_name(text: Column) -> Column:
     return F.regexp_replace(text, r"[^A-Za-z0-9_-]", "_")
+
+
+def box_quality(box, width: Column, height: Column) -> tuple[Column, Column, Column]:
+    """(area ratio, edges touched, suspicious) of a box; null without a box or a size."""
+    x1, y1, x2, y2 = box
+    ratio = F.when((width > 0) & (height > 0), area(box) / (width * height))
+    touches = (x1 <= width * 0.01).cast("int") + (y1 <= height * 0.01).cast("int") + (x2 >= width * 0.99).cast("int") + (y2 >= height * 0.99).cast("int")
+    touches = F.when(ratio.isNotNull(), touches)
+    return ratio, touches, (ratio >= 0.5) | (touches >= 2)
+
+
+def on_platform(box, width: Column, height: Column, centre=(0.5, 0.6), radius=(0.25, 0.25), strip: float = 1.6, stretch=(2.0, 1.5), anchor: float = 0.85) -> Column:
+    """Whether the lower centre of a box lies in the strip and the ellipse around a platform; false for a degenerate box."""
+    x1, y1, x2, y2 = box
+    ax, ay = (x1 + x2) / 2 / width, (y1 + (y2 - y1) * anchor) / height
+    dx, dy = (ax - centre[0]) / (radius[0] * stretch[0]), (ay - centre[1]) / (radius[1] * stretch[1])
+    inside = (F.abs(ax - centre[0]) <= radius[0] * strip) & (dx * dx + dy * dy <= 1.0)
+    return F.coalesce((x2 > x1) & (y2 > y1) & (width > 0) & (height > 0) & inside, F.lit(False))
+
+
+def first_reason(reasons: Column, priority: dict, vetoes: list) -> Column:
+    """Canonical name of the first reason by priority; null with none, with a veto, or with an unknown one."""
+    known = F.array(*[F.lit(k) for k in priority])
+    pick = F.coalesce(*[F.when(F.array_contains(reasons, k), F.lit(v)) for k, v in priority.items()])
+    ok = (F.size(reasons) > 0) & ~F.arrays_overlap(reasons, F.array(*map(F.lit, vetoes))) & (F.size(F.array_except(reasons, known)) == 0)
+    return F.when(ok, pick)
+
+
+def head_label(applies: Column, accepted: Column, value: Column) -> Column:
+    """0 or 1 where a head applies to an accepted row, else -1."""
+    return F.when(applies & accepted, F.coalesce(value.cast("int"), F.lit(-1))).otherwise(-1)
+
+
+def valid_crop(count: Column, size: Column, x, y, w, h, width, height, least_bytes: int) -> Column:
+    """One object, enough bytes, a box within its image (two pixels over are borne) of 2 % to 95 %; strings that are no numbers are invalid."""
+    n, b = count.try_cast("int"), size.try_cast("int")
+    x, y, w, h, width, height = (c.try_cast("double") for c in (x, y, w, h, width, height))
+    share = w * h / (width * height)
+    ok = (n == 1) & (b >= least_bytes) & (F.least(width, height, w, h) > 1) & (F.least(x, y) >= 0) & (x + w <= width + 2) & (y + h <= height + 2) & share.between(0.02, 0.95)
+    return F.coalesce(ok, F.lit(False))

@@ -108,3 +108,17 @@ def oldest_first_budget(df: DataFrame, ts: str, size: str, key: str, budget: int
 def expected_copies(n: int, target: int) -> int:
     """Rounds that cyclic_repeat needs for a group of n."""
     return math.ceil(target / n) if n else 0
+
+
+def rotating_round_robin(df: DataFrame, base: list[str], value: str, key: str) -> DataFrame:
+    """Bases take turns; within a base its values take turns, begun one value later for each base in order.
+
+    A value that is used up is passed over, which keeps the cyclic order, so ranks give the sequence.
+    """
+    bases = df.select(*base).distinct().withColumn("_i", F.row_number().over(W.orderBy(*base)) - 1)
+    values = df.select(*base, value).distinct()
+    values = values.withColumns({"_j": F.row_number().over(W.partitionBy(*base).orderBy(value)) - 1, "_k": F.count("*").over(W.partitionBy(*base))})
+    order = values.join(bases, base).withColumn("_at", F.pmod(F.col("_j") - F.pmod(F.col("_i"), F.col("_k")), F.col("_k")))
+    d = ranked(df, [*base, value], key, column="_r").join(order, [*base, value])
+    d = ranked(d, base, "_r", "_at", column="turn")
+    return numbered(d, "turn", *base, column="position").drop("_i", "_j", "_k", "_at", "_r")

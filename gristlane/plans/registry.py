@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import curation, evaluation, monitor
+from . import curation, evaluation, labelling, monitor
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (monitor, curation, evaluation):
+for _module in (monitor, curation, evaluation, labelling):
     QUERIES.update(_module.QUERIES)
     ORACLE_SQL.update(_module.ORACLE_SQL)
