@@ -65,4 +65,34 @@ ORACLE_SQL = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op3_dictionary_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(encode(coalesce(html, ''))) AS h FROM pages),
+        g AS (SELECT h, max(page_id) AS original FROM p GROUP BY h)
+        SELECT page_id, octet_length(b)::BIGINT AS payload_bytes,
+               array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT + 1, 1) FOR i IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> original THEN original END AS refers_to
+        FROM p JOIN g USING (h)""",
+    "op4_ngram_jaccard_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 4) - 1], chr(10)) AS g FROM w, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 4) + 2)) AS i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_n FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_n >= 85 * (x.n + y.n - both_n)),
+        both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach(node, seen) AS (SELECT a, a FROM both_ways UNION SELECT b, seen FROM reach JOIN both_ways ON node = a)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least(doc_id, (SELECT min(seen) FROM reach WHERE node = doc_id)), doc_id) AS component_id FROM w LEFT JOIN n USING (doc_id)""",
+    "op7_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        p AS (SELECT doc_id, unnest(list_transform(range(0, octet_length(b) - 99), lambda i: {'i': i, 'm': md5(array_slice(b, i + 1, i + 100))})) AS x FROM d WHERE octet_length(b) >= 100),
+        k AS (SELECT doc_id, x.i AS i, row_number() OVER (PARTITION BY x.m ORDER BY doc_id, x.i) > 1 AS later FROM p),
+        r AS (SELECT doc_id, i, i - 100 > lag(i) OVER (PARTITION BY doc_id ORDER BY i) OR lag(i) OVER (PARTITION BY doc_id ORDER BY i) IS NULL AS fresh FROM k WHERE later),
+        g AS (SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+        spans AS (SELECT doc_id, run, min(i) AS lo, max(i) + 100 AS hi, lag(max(i) + 100, 1, 0) OVER (PARTITION BY doc_id ORDER BY run) AS before FROM g GROUP BY doc_id, run),
+        parts AS (SELECT doc_id, run, hex(array_slice(b, before + 1, lo)) AS part FROM spans JOIN d USING (doc_id)
+            UNION ALL SELECT doc_id, 1000000000 AS run, hex(array_slice(b, max(hi) + 1, octet_length(b))) FROM spans JOIN d USING (doc_id) GROUP BY doc_id, b),
+        kept AS (SELECT doc_id, string_agg(part, '' ORDER BY run) AS h FROM parts GROUP BY doc_id),
+        n AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+        SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(unhex(kept.h), b)) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
 }
