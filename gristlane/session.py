@@ -62,3 +62,8 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(conf).delete(where, True)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that were not written elsewhere go with them."""
+    discard(spark, f"{shared_dir(spark)}/gristlane/{spark.sparkContext.applicationId}")
