@@ -9,13 +9,14 @@ in closed form: nothing runs through the blocks in sequence.  When a source is u
 left out; the others keep their order.
 
 Defined cases: rows of a null source are a source of their own; rows that repeat an id are rows of
-their own; an empty table gives an empty result; weights of unknown sources are ignored, sources
+their own; an empty table gives an empty result; columns of the added names are replaced; weights of unknown sources are ignored, sources
 without a weight share what is left equally with the least weight given.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -65,11 +66,13 @@ def schedule(docs: DataFrame, weights: dict | None = None, power: float = 0.7, f
     Sort by position, then place, to read the mixture.  ``weights`` are by source; without them a
     source weighs its number of rows to the ``power``.
     """
-    key = F.xxhash64("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = docs.withColumn("_key", key).withColumn("_run", F.pmod(F.shiftright("_key", 40), F.lit(RUNS)).cast("int"))
+    added = ["block_no", "place", "slot", "position", "release", "due"]
+    columns = [c for c in docs.columns if c not in added]
+    docs = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_doc"))
+    key = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256)
+    # runs by the first hex digits: rows of a run are neighbours in hash order
+    rows = docs.withColumn("_key", key).withColumn("_run", F.expr(f"cast(conv(substring(_key, 1, 4), 16, 10) as int) div {65536 // RUNS}").cast("int"))
     runs = materialize(rows.groupBy("source", "_run").agg(F.count("*").alias("n")), "runs")  # RUNS rows a source at most
-    from pyspark.sql import Window as Win
-
     before = runs.withColumn("_before", F.sum("n").over(Win.partitionBy("source").orderBy("_run").rowsBetween(Win.unboundedPreceding, -1))).select(F.col("source").alias("_s"), F.col("_run").alias("_r"), F.coalesce("_before", F.lit(0)).alias("_before"))
     counts = runs.groupBy("source").agg(F.sum("n").alias("rows"))
     plan = materialize(_edf(quotas(counts, weights, power, frame)), "plan")  # one row
@@ -93,4 +96,4 @@ def schedule(docs: DataFrame, weights: dict | None = None, power: float = 0.7, f
     position = F.aggregate(F.zip_with(F.zip_with("ahead", "quota", lambda a, q: F.col("_k") * q + a), "blocks", lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda a, x: a + x)
     out = out.withColumn("slot", slot).withColumn("position", position)
     out = out.withColumn("release", F.col("_k") * F.col("_frame") + F.expr("_at * _frame div _mine")).withColumn("due", F.col("_k") * F.col("_frame") + F.ceil((F.col("_at") + 1) * F.col("_frame") / F.col("_mine")))
-    return out.select(*[c for c in docs.columns], "block_no", "place", "slot", "position", "release", "due")
+    return out.select(*[F.col("_doc").getField(c).alias(c) for c in columns], *added)
