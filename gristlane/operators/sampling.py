@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def ranked(df: DataFrame, by: list[str], *order, column: str = "rank") -> DataFrame:
     return df.withColumn(column, F.row_number().over(W.partitionBy(*by).orderBy(*order)))
@@ -41,13 +43,22 @@ def round_robin(df: DataFrame, strata: list[str], n: int, seed: str, key: str, p
     return top.withColumn("position", F.row_number().over(W.orderBy("_p", "_turn", "_s", key))).drop("_p", "_h", "_s").withColumnRenamed("_turn", "turn")
 
 
-def numbered(df: DataFrame, *order, column: str = "index", runs: int = 256) -> DataFrame:
+def _ranges(df: DataFrame, *order) -> DataFrame:
+    """df as a written table with _run, the range of the order that a row is in.
+
+    Written, because the bounds of ranges are sampled anew whenever a plan runs.
+    """
+    runs = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return materialize(df.repartitionByRange(runs, *order).withColumn("_run", F.spark_partition_id()), "ranges")
+
+
+def numbered(df: DataFrame, *order, column: str = "index") -> DataFrame:
     """df with the place of each row in a total order, from 0, without one task that holds them all.
 
     Rows are dealt into ranges of the first order column; a range's rows are numbered apart and start
     after those of the ranges before.
     """
-    d = df.repartitionByRange(runs, *[F.col(o) for o in order]).withColumn("_run", F.spark_partition_id())
+    d = _ranges(df, *[F.col(o) for o in order])
     counts = d.groupBy("_run").agg(F.count("*").alias("_n"))  # a row a range
     before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_run", "_before")
     own = d.withColumn("_rn", F.row_number().over(W.partitionBy("_run").orderBy(*order)) - 1)
@@ -97,8 +108,7 @@ def shortages(chosen: DataFrame, by: str, n: int) -> DataFrame:
 
 def oldest_first_budget(df: DataFrame, ts: str, size: str, key: str, budget: int) -> DataFrame:
     """The newest rows whose sizes sum to no more than the budget, by a running sum over ranges of time."""
-    runs = 256
-    d = df.repartitionByRange(runs, F.col(ts).desc(), F.col(key)).withColumn("_run", F.spark_partition_id())
+    d = _ranges(df, F.col(ts).desc(), F.col(key))
     sums = d.groupBy("_run").agg(F.sum(size).alias("_n"))
     before = sums.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_run", "_before")
     own = d.withColumn("_own", F.sum(size).over(W.partitionBy("_run").orderBy(F.col(ts).desc(), key).rowsBetween(W.unboundedPreceding, 0)))
