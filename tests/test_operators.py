@@ -75,9 +75,10 @@ def test_hamming(spark, distance):
     assert {tuple(r) for r in similarity.hamming_join(df, "k", "v", distance).collect()} == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_components(spark, one_task):
     edges = [(i, i + 1) for i in range(30)] + [(100, 200), (200, 150), (7, 7), (300, 300), (None, 1)]
-    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long"), one_task=one_task).collect()}
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 200: 100, 150: 100, 300: 300}
     assert graph.connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
