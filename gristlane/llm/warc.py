@@ -182,7 +182,11 @@ def write(pages: DataFrame, folder: str, least: int = 0, sample: int = 400, size
     pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     text = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", text.alias("html"), F.sha1(text.cast("binary")).alias("digest"))
-    some = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.substring(text, 1, 65536).alias("html")).orderBy(F.xxhash64("page_id", "url"), "page_id").limit(sample).collect()
+    # ids first, so that no task sends payloads for rows that are not taken
+    ids = pages.select(F.xxhash64("page_id", "url").alias("k")).distinct().orderBy("k").limit(sample)
+    picked = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.substring(text, 1, 65536).alias("html"), F.xxhash64("page_id", "url").alias("k")).join(F.broadcast(ids), "k")
+    # rows that repeat an id: one of each
+    some = sorted(picked.groupBy("k").agg(F.min(F.struct("page_id", "url", "html")).alias("x")).select("x.*").collect(), key=repr)
     dictionary = train([record(r["page_id"], r["url"], (p := (r["html"] or "").encode()), base32_sha1(p), None) for r in some], size)
     # of each payload that occurs again the page it is written for; combined before the shuffle
     again = rows.where(F.octet_length("html") >= least).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("c")).where("c > 1 and original is not null")
