@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -65,7 +66,9 @@ def _first_min(g: np.ndarray, w: int) -> np.ndarray:
     return at
 
 
-def _segments(width: int, k: int):
+def _segments(width: int, k: int, known: np.ndarray, salts: int):
+    """mapInArrow function: rows (doc_id, thash, text) -> segments, dealt by anchor; the ``known`` frequent anchors are spread over salts."""
+
     def run(batches):
         for batch in batches:
             out = [[] for _ in range(4)]
@@ -78,13 +81,95 @@ def _segments(width: int, k: int):
                             x.append(y)
                         rows.append(np.full(len(got[0]), lo + i))
             if rows:
-                pick = pa.array(np.concatenate(rows))
+                rows = np.concatenate(rows)
+                pick = pa.array(rows)
                 a, c, s, n = (np.concatenate(x) for x in out)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pick), batch.column(1).take(pick), pa.array(a), pa.array(c), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32))], ["doc_id", "thash", "anchor", "content", "start", "n"])
+                thash = batch.column(1).take(pick)
+                part = a
+                if len(known):
+                    hot = known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a
+                    salt = (thash.to_numpy(zero_copy_only=False) % salts + salts) % salts + 1
+                    part = np.where(hot, a + salt * 0x9E3779B9, a)
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(a), pa.array(c), batch.column(0).take(pick), thash, pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(part != a)], ["part", "anchor", "content", "doc_id", "thash", "start", "n", "hot"])
+
+    return run
+
+
+LATER, WANTED, HOT = 0, 1, 2
+
+
+def _classes():
+    """mapInArrow over segments sorted by anchor, content and place.
+
+    Of each class of equal segments all but the first start later than an equal one (LATER).  First ones
+    go on if their anchor has another class (WANTED); those of spread anchors meet the other salts (HOT).
+    State is one class and, up to CROWD, the first ones of one anchor.
+    """
+
+    def run(batches):
+        held = None  # rows of the anchor that may go on
+        last = None  # (anchor, content) of the last row
+        count = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a = batch.column(1).to_numpy(zero_copy_only=False)
+            c = batch.column(2).to_numpy(zero_copy_only=False)
+            hot = batch.column(7).to_numpy(zero_copy_only=False)
+            new_a, new_c = np.ones(len(a), bool), np.ones(len(a), bool)
+            new_a[1:] = a[1:] != a[:-1]
+            new_c[1:] = new_a[1:] | (c[1:] != c[:-1])
+            if last is not None:
+                new_a[0] = a[0] != last[0]
+                new_c[0] = new_a[0] or c[0] != last[1]
+            last = (a[-1], c[-1])
+            table = pa.Table.from_batches([batch])
+            kind = np.where(new_c, WANTED, LATER)
+            kind[hot & new_c] = HOT
+            plain = np.flatnonzero(new_c & ~hot)
+            out = [_typed(table.take(pa.array(np.flatnonzero(kind != WANTED))), kind[kind != WANTED], False)]
+            # first ones by anchor: whole anchors are decided, the last one is held
+            firsts = table.take(pa.array(plain))
+            name = a[plain]
+            if held is not None and len(name) and name[0] == held[0]:
+                run_ = int(np.searchsorted(name != held[0], True)) if (name != held[0]).any() else len(name)
+                count += run_
+                if count > CROWD:
+                    if held[1] is not None:
+                        out.append(_typed(held[1], None, True))
+                        held = (held[0], None)
+                    out.append(_typed(firsts.slice(0, run_), None, True))
+                else:
+                    held = (held[0], pa.concat_tables([held[1], firsts.slice(0, run_)]))
+                firsts, name = firsts.slice(run_), name[run_:]
+            if len(name):
+                if held is not None and held[1] is not None and count > 1:
+                    out.append(_typed(held[1], None, False))
+                edge = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]]))
+                size = np.diff(edge)
+                done = np.repeat(size, size)[: edge[-2]]
+                out.append(_typed(firsts.take(pa.array(np.flatnonzero(done > 1))), None, done[done > 1] > CROWD))
+                count = int(size[-1])
+                rest = firsts.slice(int(edge[-2]))
+                held = (name[-1], rest)
+                if count > CROWD:
+                    out.append(_typed(rest, None, True))
+                    held = (name[-1], None)
+            for t in out:
+                yield from t.to_batches()
+        if held is not None and held[1] is not None and count > 1:
+            yield from _typed(held[1], None, False).to_batches()
 
     return run
 
 
+def _typed(table: pa.Table, kind, crowded) -> pa.Table:
+    n = len(table)
+    kind = np.full(n, WANTED) if kind is None else kind
+    crowded = np.full(n, crowded) if np.ndim(crowded) == 0 else crowded
+    return pa.table([pa.array(kind.astype(np.int32)), *table.columns[1:7], pa.array(crowded)], ["kind", "anchor", "content", "doc_id", "thash", "start", "n", "crowded"])
+
+
 def suffix_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(text, start) of all suffixes of a collection in order, by inserting one column a round.
 
@@ -150,7 +235,7 @@ def equal_windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarra
 
 
 #: bytes of a collection for one suffix order; more than one anchor shares it up to here
-COLLECTION = 1 << 20
+COLLECTION = 1 << 17
 
 
 def _resolve(width: int):
@@ -258,34 +343,44 @@ def _fetch(width: int):
     return run
 
 
-def repeated(docs: DataFrame, width: int = 100, k: int = K) -> DataFrame:
-    """(doc_id, thash, start, n): runs of windows that also start earlier, judged on the whole input."""
+def repeated(docs: DataFrame, width: int = 100, k: int = K, salts: int = 64, sample: int = 64) -> DataFrame:
+    """(doc_id, thash, start, n): runs of windows that also start earlier, judged on the whole input.
+
+    ``sample``: frequent anchors that are spread over ``salts`` tasks are found in one of so many
+    texts; which those are changes where rows go, never what is found.
+    """
     spark = docs.sparkSession
     parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = docs.select("doc_id", F.xxhash64("text").alias("thash"), "text")
-    schema = f"doc_id {kind}, thash long, anchor long, content long, start int, n int"
-    seg = base.mapInArrow(_segments(width, k), schema)
-    # first place of each class, combined before the shuffle: a large group of copies is a row a task
-    first = F.min(F.struct(F.col("doc_id").alias("d"), F.col("thash").alias("h"), F.col("start").alias("s"), F.col("n").alias("n"))).alias("f")
-    classes = seg.groupBy("anchor", "content").agg(first, F.count("*").alias("c"))
-    # classes of an anchor that has more than one, or copies
-    total = classes.groupBy("anchor").agg(F.count("*").alias("m"), F.sum("c").alias("t")).where("t > 1")
-    known = materialize(classes.join(total, "anchor").select("anchor", "content", "f", "c", "m"), "classes")
-
-    copies = known.where("c > 1").select("anchor", "content", "f")
-    again = seg.join(copies, ["anchor", "content"])
-    again = again.where(~(F.col("doc_id").eqNullSafe(F.col("f.d")) & (F.col("thash") == F.col("f.h")) & (F.col("start") == F.col("f.s"))))
-    again = again.select("doc_id", "thash", "start", "n")
-
-    wanted = known.where("m > 1").select(F.col("f.d").alias("d"), F.col("f.h").alias("h"), F.struct("anchor", F.col("f.s").alias("start"), F.col("f.n").alias("n"), (F.col("m") > CROWD).alias("crowded")).alias("w"))
+    schema = f"part long, anchor long, content long, doc_id {kind}, thash long, start int, n int, hot boolean"
+    few = base.where(F.pmod("thash", F.lit(sample)) == 0).mapInArrow(_segments(width, k, np.zeros(0, np.int64), 1), schema)
+    freq = few.groupBy("anchor").agg(F.count("*").alias("c")).where("c >= 6")
+    # the most frequent anchors of the sample, at most 4096: a bounded list
+    known = np.sort(np.array([r[0] for r in freq.orderBy(F.desc("c"), "anchor").limit(4096).collect()], np.int64))
+    seg = base.mapInArrow(_segments(width, k, known, salts), schema).repartition(parts, "part")
+    seg = seg.sortWithinPartitions("anchor", "content", "doc_id", "thash", "start")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    found = materialize(seg.mapInArrow(_classes(), f"kind int, anchor long, content long, doc_id {kind}, thash long, start int, n int, crowded boolean"), "found")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+    place = ["doc_id", "thash", "start", "n"]
+    later = found.where(F.col("kind") == LATER).select(*place)
+    # a class of a spread anchor has one row a salt at most
+    hot = found.where(F.col("kind") == HOT).withColumn("rn", F.row_number().over(Win.partitionBy("anchor", "content").orderBy("doc_id", "thash", "start")))
+    hot = materialize(hot, "hot")
+    later = later.unionByName(hot.where("rn > 1").select(*place))
+    classes = hot.where("rn = 1").groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
+    more = hot.where("rn = 1").drop("crowded").join(classes, "anchor").withColumn("crowded", F.col("m") > CROWD)
+    wanted = found.where(F.col("kind") == WANTED).select("anchor", *place, "crowded").unionByName(more.select("anchor", *place, "crowded"))
     # of one text, so no more than its own segments
-    wanted = materialize(wanted.groupBy("d", "h").agg(F.collect_list("w").alias("w")), "wanted")
+    wanted = wanted.groupBy(F.col("doc_id").alias("d"), F.col("thash").alias("h")).agg(F.collect_list(F.struct("anchor", "start", "n", "crowded")).alias("w"))
+    wanted = materialize(wanted, "wanted")
     texts = base.join(small(wanted, weight="2 + size(w)"), base["doc_id"].eqNullSafe(wanted["d"]) & (base["thash"] == wanted["h"])).select("doc_id", "thash", "text", "w")
     raw = texts.mapInArrow(_fetch(width), f"part long, doc_id {kind}, thash long, start int, raw binary")
     met = raw.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_resolve(width), f"doc_id {kind}, thash long, start int, n int")
-    return again.unionByName(met)
+    return later.unionByName(met)
 
 
 def _cut(width: int, text_out: bool):
@@ -313,7 +408,7 @@ def _cut(width: int, text_out: bool):
 
     def rewrite(batches):
         for batch in batches:
-            at, sp = batch.schema.get_field_index("text"), batch.schema.get_field_index("_spans")
+            at, sp = batch.schema.get_field_index("text"), batch.schema.get_field_index("__gl_spans")
             texts = []
             for text, spans in zip(batch.column(at), batch.column(sp).to_pylist(), strict=True):
                 if not spans:
@@ -323,25 +418,25 @@ def _cut(width: int, text_out: bool):
                 # a span that cuts through a character leaves part of it, which is dropped
                 texts.append(np.frombuffer(b, np.uint8)[~covered(len(b), spans)].tobytes().decode("utf-8", "ignore"))
             cols = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if i != sp]
-            yield pa.RecordBatch.from_arrays(cols, [n for n in batch.schema.names if n != "_spans"])
+            yield pa.RecordBatch.from_arrays(cols, [n for n in batch.schema.names if n != "__gl_spans"])
 
     return rewrite if text_out else digest
 
 
 def _with_spans(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """docs with _spans: the runs of windows to remove, null where there are none."""
+    """docs with __gl_spans: the runs of windows to remove, null where there are none."""
     found = materialize(repeated(docs, width, k), "repeated")
     # of one text, so no more than its own windows
-    per = found.groupBy("doc_id", "thash").agg(F.collect_set(F.struct("start", "n")).alias("_spans")).select(F.col("doc_id").alias("_d"), F.col("thash").alias("_h"), "_spans")
-    per = small(materialize(per, "spans"), weight="2 + size(_spans)")
-    return docs.join(per, docs["doc_id"].eqNullSafe(F.col("_d")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("_h")), "left").drop("_d", "_h")
+    per = found.groupBy("doc_id", "thash").agg(F.collect_set(F.struct("start", "n")).alias("__gl_spans")).select(F.col("doc_id").alias("__gl_d"), F.col("thash").alias("__gl_h"), "__gl_spans")
+    per = small(materialize(per, "spans"), weight="2 + size(__gl_spans)")
+    return docs.join(per, docs["doc_id"].eqNullSafe(F.col("__gl_d")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__gl_h")), "left").drop("__gl_d", "__gl_h")
 
 
 def digests(docs: DataFrame, width: int = 100, k: int = K) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = _with_spans(docs, width, k).select("doc_id", "text", "_spans")
+    rows = _with_spans(docs, width, k).select("doc_id", "text", "__gl_spans")
     return rows.mapInArrow(_cut(width, False), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
