@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_components
 from ..session import materialize
 from . import words as W
+from .sizes import small
 
 U = np.uint64
 RATIO, SLACK, SPARE = 1.5, 1.08, 2
@@ -124,9 +125,12 @@ def keys(x: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(x: np.ndarray) -> np.ndarray:
-    """Parity of the set over as many bits as it has members, or up to twice as many (a power of two)."""
+    """Parity of the set over four to eight times as many bits as it has members (a power of two).
+
+    At so many bits few members cancel each other, so few pairs beyond the threshold seem within it.
+    """
     bits = 64
-    while bits < len(x):
+    while bits < 4 * len(x):
         bits *= 2
     at = (x & U(bits - 1)).astype(np.int64)
     odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
@@ -338,7 +342,7 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, t: Thr
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     reps = materialize(classes.join(wanted, "sid").select("sid", F.col("rep.doc_id").alias("r"), F.col("rep.thash").alias("h")), "reps")
     own = docs.select("doc_id", "text").withColumn("thash", F.xxhash64("text"))
-    texts = own.join(reps, own["doc_id"].eqNullSafe(reps["r"]) & (own["thash"] == reps["h"])).select("text", "sid")
+    texts = own.join(small(reps), own["doc_id"].eqNullSafe(reps["r"]) & (own["thash"] == reps["h"])).select("text", "sid")
     sets = materialize(texts.mapInArrow(_sets(k), "sid long, raw binary").dropDuplicates(["sid"]), "sets")
     one = pairs.join(sets.select(F.col("sid").alias("a"), F.col("raw").alias("ra")), "a")
     two = one.join(sets.select(F.col("sid").alias("b"), F.col("raw").alias("rb")), "b").select("a", "b", "ra", "rb")
@@ -346,7 +350,9 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, t: Thr
 
 
 def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, salts: int = 64, sample: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, classes, links): every row with its class, the classes' sizes and first rows, and the links of different classes.
+    """(members, classes, links): every row with its class, the classes' sizes and first rows, and links of different classes.
+
+    The links join all that reach each other; a pair that other links join may not be among them.
 
     ``sample``: frequent keys that are spread over ``salts`` tasks from the start are found in one
     of so many texts; which keys those are changes where rows go, never what is found.
@@ -401,15 +407,14 @@ def _block_pairs(groups: DataFrame, t: Threshold, forest: bool) -> DataFrame:
 
 
 def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable by links) and n_links (to other classes) of every row."""
+    """doc_id, n_shingles and component_id (smallest id reachable by links) of every row."""
     rows, classes, links = join(docs, k, num, den)
     comp = connected_components(links, "a", "b")
-    degree = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("n_links"))
     at = classes.select("sid", "low").join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     low = at.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = materialize(at.join(low, "component").join(degree, "sid", "left").select(F.col("sid"), "component_id", "n_links"), "named")
+    named = materialize(at.join(low, "component").select("sid", "component_id"), "named")
     out = rows.select("doc_id", "sid", "n").join(named, "sid", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def survivors(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -418,8 +423,9 @@ def survivors(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Dat
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "sid")
     at = classes.select("sid", "rep").join(comp, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     first = at.groupBy("component").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("_d"), F.col("rep.thash").alias("_h"))
-    keep = materialize(first.union(rows.where("n = 0").select("doc_id", "thash").distinct()), "keep")
-    out = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_d"]) & F.xxhash64(docs["text"]).eqNullSafe(keep["_h"]), "left_semi")
+    own = rows.where("n > 0").groupBy("doc_id", "thash").agg(F.count("*").alias("c"))
+    gone = own.join(first, own["doc_id"].eqNullSafe(first["_d"]) & (own["thash"] == first["_h"]), "left_anti").select(F.col("doc_id").alias("_d"), F.col("thash").alias("_h"))
+    gone = small(materialize(gone, "gone"))
+    out = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_d"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["_h"]), "left_anti")
     # rows that repeat both id and text are copies of one another too
-    twice = rows.where("n > 0").groupBy("doc_id", "thash").agg(F.count("*").alias("c")).where("c > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id", "text"]) if twice else out
+    return out.dropDuplicates(["doc_id", "text"]) if own.where("c > 1").limit(1).count() else out
