@@ -423,11 +423,21 @@ def _cut(width: int, text_out: bool):
     return rewrite if text_out else digest
 
 
+def _merge(runs, x):
+    """Runs of windows with one more, in order of start."""
+    last = F.try_element_at(runs, F.lit(-1))
+    end = last["start"] + last["n"]
+    joined = F.struct(last["start"].alias("start"), (F.greatest(end, x["start"] + x["n"]) - last["start"]).alias("n"))
+    touches = F.coalesce(x["start"] <= end, F.lit(False))
+    return F.when(touches, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(joined))).otherwise(F.concat(runs, F.array(x)))
+
+
 def _with_spans(docs: DataFrame, width: int, k: int) -> DataFrame:
     """docs with __gl_spans: the runs of windows to remove, null where there are none."""
     found = materialize(repeated(docs, width, k), "repeated")
-    # of one text, so no more than its own windows
-    per = found.groupBy("doc_id", "thash").agg(F.collect_set(F.struct("start", "n")).alias("__gl_spans")).select(F.col("doc_id").alias("__gl_d"), F.col("thash").alias("__gl_h"), "__gl_spans")
+    # of one text, so no more than its own windows; runs that touch become one
+    per = found.groupBy("doc_id", "thash").agg(F.sort_array(F.collect_set(F.struct("start", F.col("n").alias("n")))).alias("r"))
+    per = per.select(F.col("doc_id").alias("__gl_d"), F.col("thash").alias("__gl_h"), F.aggregate("r", F.array().cast("array<struct<start:int,n:int>>"), _merge).alias("__gl_spans"))
     per = small(materialize(per, "spans"), weight="2 + size(__gl_spans)")
     return docs.join(per, docs["doc_id"].eqNullSafe(F.col("__gl_d")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__gl_h")), "left").drop("__gl_d", "__gl_h")
 
