@@ -170,22 +170,38 @@ def _typed(table: pa.Table, kind, crowded) -> pa.Table:
     return pa.table([pa.array(kind.astype(np.int32)), *table.columns[1:7], pa.array(crowded)], ["kind", "anchor", "content", "doc_id", "thash", "start", "n", "crowded"])
 
 
-def suffix_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, start) of all suffixes of a collection in order, by inserting one column a round.
+def _symbols(texts: list[bytes], step: int) -> np.ndarray:
+    """For each byte of the texts, one after the other, the number that it and the next ones make."""
+    flat = np.frombuffer(b"".join(texts) + bytes(step - 1), np.uint8)
+    value = flat[: len(flat) - step + 1].astype(np.uint32)
+    for i in range(1, step):
+        value = (value << np.uint32(8)) | flat[i : len(flat) - step + 1 + i]
+    return value
 
-    Round j puts the suffix of length j of every text into the order of the shorter ones.  Its place
+
+def suffix_order(texts: list[bytes], step: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, size) of the suffixes of a collection in order, by inserting one column a round.
+
+    Round j puts the suffix of j symbols of every text into the order of the shorter ones.  Its place
     follows from the transform so far: suffixes sort by first symbol, then by the place of the rest.
+    A symbol is ``step`` bytes; each text then stands in the collection once for every phase, cut by so
+    many bytes at its end, so that a suffix begins at every byte, in a ``step``-th of the rounds.
     """
-    m = len(texts)
     length = np.array([len(t) for t in texts], np.int64)
-    most = int(length.max()) if m else 0
+    names, rank = np.unique(_symbols(texts, step), return_inverse=True)
+    rank = (rank + 1).astype(np.uint8 if len(names) < 255 else np.uint16 if len(names) < 65535 else np.uint32)
+    owner, phase = np.repeat(np.arange(len(texts)), step), np.tile(np.arange(step), len(texts))
+    live = length[owner] >= phase
+    owner, phase = owner[live], phase[live]
+    blocks = (length[owner] - phase) // step
+    tail = np.cumsum(length)[owner] - phase
+    m = len(owner)
+    most = int(blocks.max()) if m else 0
     # symbols from the end; 0 stands before the first symbol of a text
-    cols = np.zeros((most + 1, m), np.uint8)
-    flat = np.frombuffer(b"".join(texts), np.uint8)
-    end = np.cumsum(length)
+    cols = np.zeros((most + 1, m), rank.dtype)
     for j in range(most):
-        live = length > j
-        cols[j, live] = flat[end[live] - 1 - j] + 1
+        live = blocks > j
+        cols[j, live] = rank[tail[live] - step * (j + 1)]
     bwt = cols[0].copy()
     fresh = np.ones(m, bool)
     last = np.arange(m)  # texts of the suffixes that the last round inserted, in order
@@ -198,44 +214,44 @@ def suffix_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         size = len(bwt) + len(last)
         old = np.ones(size, bool)
         old[place] = False
-        new = np.empty(size, np.uint8)
+        new = np.empty(size, rank.dtype)
         new[old] = bwt
         new[place] = cols[j, last]
         bwt, fresh = new, ~old
     # walk every text from its end through the finished transform
     order = np.argsort(bwt, kind="stable")
-    step = np.empty(len(bwt), np.int64)
-    step[order] = np.arange(len(bwt)) + m - np.count_nonzero(bwt == 0)
-    text = np.empty(len(bwt), np.int64)
-    start = np.empty(len(bwt), np.int64)
+    back = np.empty(len(bwt), np.int64)
+    back[order] = np.arange(len(bwt)) + m - np.count_nonzero(bwt == 0)
+    text, start, size = (np.empty(len(bwt), np.int64) for _ in range(3))
     row, who = np.arange(m), np.arange(m)
     for j in range(most + 1):
-        text[row], start[row] = who, length[who] - j
-        live = length[who] > j
-        row, who = step[row[live]], who[live]
-    return text, start
+        text[row], start[row], size[row] = owner[who], length[owner[who]] - phase[who] - step * j, step * j
+        live = blocks[who] > j
+        row, who = back[row[live]], who[live]
+    return text, start, size
 
 
 def equal_windows(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, start, class) of all windows of ``width`` bytes; equal windows have one class."""
-    text, start = suffix_order(texts)
+    step = 4 if width % 4 == 0 else 1
+    text, start, size = suffix_order(texts, step)
     length = np.array([len(t) for t in texts], np.int64)
-    whole = start + width <= length[text]
+    whole = size >= width
     text, start = text[whole], start[whole]
     if not len(text):
         return text, start, text
-    flat = np.frombuffer(b"".join(texts), np.uint8)
+    flat = _symbols(texts, step)
     at = (np.cumsum(length) - length)[text] + start
     same = np.ones(len(at), bool)
     same[0] = False
-    for i in range(width):  # common prefixes of neighbours, one column at a time
+    for i in range(0, width, step):  # common prefixes of neighbours, one column at a time
         live = np.flatnonzero(same)
         same[live] = flat[at[live] + i] == flat[at[live - 1] + i]
     return text, start, np.cumsum(~same)
 
 
 #: bytes of a collection for one suffix order; more than one anchor shares it up to here
-COLLECTION = 1 << 17
+COLLECTION = 1 << 16
 
 
 def _resolve(width: int):

@@ -122,9 +122,11 @@ def test_suffix_dedup(spark, corpus):
 def test_suffix_order():
     rng = np.random.default_rng(2)
     texts = [bytes(rng.integers(97, 100, int(rng.integers(0, 15))).astype(np.uint8)) for _ in range(40)]
-    text, start = suffixes.suffix_order(texts)
-    order = [texts[a][b:] for a, b in zip(text, start)]
-    assert order == sorted(order) and len(order) == sum(map(len, texts)) + len(texts)
+    for step in (1, 2, 4):
+        text, start, size = suffixes.suffix_order(texts, step)
+        order = [texts[a][b : b + n] for a, b, n in zip(text, start, size)]
+        assert order == sorted(order)
+        assert {(a, b) for a, b, n in zip(text, start, size) if n} == {(a, b) for a, t in enumerate(texts) for b in range(len(t) - step + 1)}
 
 
 @pytest.mark.parametrize("broadcast", [10**6, 0])
