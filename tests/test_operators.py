@@ -143,3 +143,14 @@ def test_streaming(spark, tmp_path):
     s = usage.usage(usage.stream(spark, str(tmp_path / "in"), df.schema), "ts", "kind")
     usage.into(s, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert [(r.kind, r.n, r.total) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("a", 2, 3.0)]
+
+
+def test_bbox_every_order(spark):
+    """The box matching takes every order."""
+    from gristlane.plans import evaluation
+
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber").toPandas()
+    pairs = rows.merge(rows, on="l_orderkey").query("l_linenumber_x < l_linenumber_y")
+    got = {r.assigned: r.n for r in evaluation.bbox_iou_match(spark, sf).collect()}
+    assert sum(got.values()) == len(pairs) and pairs["l_orderkey"].mod(10).nunique() == 10
