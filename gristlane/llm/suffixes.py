@@ -95,13 +95,20 @@ def _segments(width: int, k: int, known: np.ndarray, salts: int):
     return run
 
 
-LATER, WANTED, HOT = 0, 1, 2
+LATER, WANTED, HOT, REPEAT = 0, 1, 2, 3
+
+
+def _repeats(a: pa.Array) -> np.ndarray:
+    """Whether each value but the first equals the one before it; two nulls are equal."""
+    x, y = a.slice(1), a.slice(0, len(a) - 1)
+    return pc.if_else(pc.and_(pc.is_null(x), pc.is_null(y)), True, pc.fill_null(pc.equal(x, y), False)).to_numpy(zero_copy_only=False)
 
 
 def _classes():
     """mapInArrow over segments sorted by anchor, content and place.
 
-    Of each class of equal segments all but the first start later than an equal one (LATER).  First ones
+    Of each class of equal segments all but the first start later than an equal one (LATER), apart from
+    those of a row that repeats id and text, which are the same place again and are left out.  First ones
     go on if their anchor has another class (WANTED); those of spread anchors meet the other salts (HOT).
     State is one class and, up to CROWD, the first ones of one anchor.
     """
@@ -109,6 +116,7 @@ def _classes():
     def run(batches):
         held = None  # rows of the anchor that may go on
         last = None  # (anchor, content) of the last row
+        place = None  # doc_id, thash and start of the last row
         count = 0
         for batch in batches:
             if not batch.num_rows:
@@ -125,9 +133,17 @@ def _classes():
             last = (a[-1], c[-1])
             table = pa.Table.from_batches([batch])
             kind = np.where(new_c, WANTED, LATER)
+            again = ~new_c
+            for col in (3, 4, 5):
+                again[1:] &= _repeats(batch.column(col))
+            now = tuple(batch.column(col)[0].as_py() for col in (3, 4, 5))
+            again[0] &= now == place
+            place = tuple(batch.column(col)[-1].as_py() for col in (3, 4, 5))
+            kind[again] = REPEAT
             kind[hot & new_c] = HOT
             plain = np.flatnonzero(new_c & ~hot)
-            out = [_typed(table.take(pa.array(np.flatnonzero(kind != WANTED))), kind[kind != WANTED], False)]
+            decided = (kind == LATER) | (kind == HOT)
+            out = [_typed(table.take(pa.array(np.flatnonzero(decided))), kind[decided], False)]
             # first ones by anchor: whole anchors are decided, the last one is held
             firsts = table.take(pa.array(plain))
             name = a[plain]

@@ -119,6 +119,16 @@ def test_suffix_dedup(spark, corpus):
     assert suffixes.digests(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_suffix_repeated_row(spark):
+    """Rows that repeat both id and text keep their text; a later id or an earlier start still counts."""
+    a, b = prose(200, 60), prose(201, 60)
+    rows = [(3, a), (3, a), (5, a), (None, b), (None, b), (7, b + " x"), (8, "y " + prose(202, 40) * 2), (8, "y " + prose(202, 40) * 2)]
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in suffixes.digests(docs(spark, [t for _, t in rows], [i for i, _ in rows])).collect())
+    inner = len(prose(202, 40))
+    want = [(i, t, len(t) if n in (2,) else len(b) if n == 5 else inner if n > 5 else 0) for n, (i, t) in enumerate(rows)]
+    assert got == sorted((str(i), len(t), n) for i, t, n in want)
+
+
 def test_suffix_order():
     rng = np.random.default_rng(2)
     texts = [bytes(rng.integers(97, 100, int(rng.integers(0, 15))).astype(np.uint8)) for _ in range(40)]
