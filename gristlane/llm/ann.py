@@ -198,7 +198,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, parts: int = 16,
     n = entries.count()
     seen = np.array([r[0] for r in entries.select("v").orderBy(F.xxhash64(F.get("ids", F.lit(0)))).limit(sample).collect()], np.float64)
     router = train(unit(seen), parts, k, want)
-    probes = router.parts if n <= 2 * sample else router.probes
+    probes = router.probes
 
     number = F.greatest(F.lit(1), F.ceil(F.lit(n) / router.parts / block)).cast("int")
     split = max(1, -(-asked.count() // block))

@@ -279,6 +279,29 @@ def test_neighbours(spark):
     assert few.count() == 2 and ann.search(vectors.limit(0), vectors, k=5).count() == 0
 
 
+def test_neighbours_small_table_is_routed(spark, monkeypatch):
+    """A small table is searched by the router's choice too, at the recall that it aims for."""
+    fitted, asked = [], []
+    train, route = ann.train, ann._route
+    monkeypatch.setattr(ann, "train", lambda *a, **b: fitted.append(train(*a, **b)) or fitted[-1])
+    monkeypatch.setattr(ann, "_route", lambda router, probes: asked.append(probes) or route(router, probes))
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    got = ann.search(vectors, vectors.where("vec_id % 5 = 0"), k=5).collect()
+    # 1 for the index, then the queries, and all partitions for queries that found too few
+    assert fitted[0].probes < fitted[0].parts and asked[:2] == [1, fitted[0].probes]
+    rows = vectors.select("vec_id", "embedding").collect()
+    u = ann.unit(np.array([r.embedding for r in rows], float))
+    ids = np.array([r.vec_id for r in rows])
+    hit = total = 0
+    for q in np.flatnonzero(ids % 5 == 0):
+        s = u @ u[q]
+        want = sorted((-round(x, 12), i) for i, x in zip(ids.tolist(), s) if i != ids[q])[:5]
+        hit += len({i for _, i in want} & {r.vec_id for r in got if r.query_id == ids[q]})
+        total += len(want)
+    print("recall@5", hit / total, "probes", fitted[0].probes, "of", fitted[0].parts, "held out", fitted[0].recall)
+    assert hit / total >= 0.9
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "u", "Hello there\nhow are you\n\nSecond para"), (1, 1, "a", "On Monday Bob wrote:\n> hello  THERE how\n> are you\n\nFine thanks"), (1, 2, "u", ">> how are you\n> Fine thanks\nGreat"), (1, 3, "a", "No quote"),
