@@ -5,8 +5,8 @@ within Hamming distance H agree on one of any H + 1 segments, or come within one
 (H + 1) / 2.  Each set indexes its first non-empty segments, as many as its own H demands; short
 sets index one-deletion neighbourhoods of fewer, longer segments, which are more selective.
 Allocation follows cost: a segment whose key is frequent gets nothing, and the spare segments pay
-for it.  Only sets that run out of spare segments ("dominated" by frequent content) meet through
-frequent keys, and those are compared block by block on parity sketches whose distance never
+for it.  Sets that run out of spare segments ("dominated" by frequent content; short sets have none to
+spare) meet all sets of their frequent keys, and those are compared block by block on parity sketches whose distance never
 exceeds the sets' own, so nothing is lost.  What survives is verified on the full sets.
 
 Exact copies are one class from the start (their sets are equal), so a large group of copies is one
@@ -87,6 +87,10 @@ class Threshold:
         worth = 2 if most <= 6 else 1
         return int(-(-most // worth) * SLACK) + SPARE + 2, worth
 
+    def short_bands(self) -> int:
+        """Bands below this one index one-deletion neighbourhoods."""
+        return next(b for b in range(len(BANDS) - 1) if self.segments(b)[1] == 1)
+
 
 def keys(x: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
     """Keys of a set, and for each band << 44 | segment << 16 | spare."""
@@ -381,8 +385,12 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, salts: int
     cold = cold.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_survivors(t), "a long, b long")
 
     hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("sid"), F.shiftright("c", 44).alias("band"), F.expr("(c >> 16) & 268435455").alias("seg"), F.expr("(c & 65535) - 1000").alias("spare"))
-    dominated = hot.groupBy("sid", "band").agg(F.count_distinct("seg").alias("lost"), F.min("spare").alias("spare")).where("lost > spare").select("sid", "band")
-    meet = materialize(hot.join(dominated, ["sid", "band"], "left_semi").select("key", "sid").distinct(), "meet")
+    # In a short band a segment of one member costs one change, not two, where the other set's is empty:
+    # a frequent key cannot be spared there.
+    dominated = hot.groupBy("sid", "band").agg(F.count_distinct("seg").alias("lost"), F.min("spare").alias("spare")).where((F.col("lost") > F.col("spare")) | (F.col("band") < t.short_bands())).select("sid", "band")
+    # the other set of a pair may have keys to spare: all sets of a dominated set's frequent keys meet
+    shared = materialize(hot.join(dominated, ["sid", "band"], "left_semi").select("key").distinct(), "shared")
+    meet = materialize(hot.join(small(shared), "key", "left_semi").select("key", "sid").distinct(), "meet")
     pivots = meet.groupBy("key").agg(F.min("sid").alias("p"), F.count("*").alias("c")).where("c > 1")
     stars = meet.join(pivots, "key").select(F.col("p").alias("src"), F.col("sid").alias("dst")).distinct()
     groups = materialize(connected_components(stars).select(F.col("node").alias("sid"), F.col("component").alias("grp")).join(info, "sid"), "groups")

@@ -91,6 +91,25 @@ def test_jaccard_dominated_groups(spark):
     assert got == want
 
 
+def short_family(seed):
+    """A text of 18 to 22 shingles and 100 near copies at distance 3."""
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(18, 23))
+    base = [f"b{x}" for x in rng.integers(0, 10**6, n + 3)]
+    edits = [base + [f"a{seed}x{i}x{j}" for j in range(3)] if i % 2 else [f"a{seed}x{i}"] + base[1:] + [f"z{seed}x{i}"] for i in range(100)]
+    return [" ".join(w) for w in [base, *edits]]
+
+
+def test_jaccard_short_dominated_group(spark):
+    """Near copies of a short text meet it though their cold keys fail one by one."""
+    texts = short_family(117) + short_family(297)
+    got = {r.doc_id: r.component_id for r in jaccard.components(docs(spark, texts)).collect()}
+    sets = [frozenset(tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)) for t in texts]
+    for lo in (0, 101):
+        linked = [i for i in range(lo, lo + 101) if 100 * len(sets[lo] & sets[i]) >= 85 * len(sets[lo] | sets[i])]
+        assert len(linked) > 24 and {got[i] for i in linked} == {lo}
+
+
 def test_jaccard_survivors(spark, corpus):
     d = docs(spark, [*corpus, corpus[0]], [*range(len(corpus)), 0])  # the first row once more
     left = jaccard.survivors(d)
