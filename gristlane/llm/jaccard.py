@@ -353,10 +353,11 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, t: Thr
     return materialize(two.mapInArrow(_verify(t), "a long, b long"), "links")
 
 
-def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, salts: int = 64, sample: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, classes, links): every row with its class, the classes' sizes and first rows, and links of different classes.
+def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, salts: int = 64, sample: int = 64, complete: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, classes, links): every row with its class, the classes' sizes and first rows, and all links of different classes.
 
-    The links join all that reach each other; a pair that other links join may not be among them.
+    Without ``complete`` the links join all that reach each other, but a pair that other links join may
+    not be among them; that is enough for components.
 
     ``sample``: frequent keys that are spread over ``salts`` tasks from the start are found in one
     of so many texts; which keys those are changes where rows go, never what is found.
@@ -395,9 +396,9 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, salts: int
     stars = meet.join(pivots, "key").select(F.col("p").alias("src"), F.col("sid").alias("dst")).distinct()
     groups = materialize(connected_components(stars).select(F.col("node").alias("sid"), F.col("component").alias("grp")).join(info, "sid"), "groups")
 
-    pairs = materialize(cold.unionByName(_block_pairs(groups.withColumn("comp", F.col("sid")), t, True)).distinct(), "pairs")
+    pairs = materialize(cold.unionByName(_block_pairs(groups.withColumn("comp", F.col("sid")), t, not complete)).distinct(), "pairs")
     links = _links(docs, classes, pairs, k, t)
-    if groups.limit(1).count():
+    if not complete and groups.limit(1).count():
         comp = connected_components(links, "a", "b").select(F.col("node").alias("sid"), F.col("component").alias("c"))
         left = groups.join(comp, "sid", "left").withColumn("comp", F.coalesce("c", "sid")).drop("c")
         rest = materialize(_block_pairs(left, t, False).distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
@@ -416,7 +417,7 @@ def _block_pairs(groups: DataFrame, t: Threshold, forest: bool) -> DataFrame:
 
 def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links) of every row."""
-    rows, classes, links = join(docs, k, num, den)
+    rows, classes, links = join(docs, k, num, den, complete=False)
     comp = connected_components(links, "a", "b")
     at = classes.select("sid", "low").join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     low = at.groupBy("component").agg(F.min("low").alias("component_id"))
@@ -425,9 +426,20 @@ def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> Da
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def link_counts(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles and n_links (rows that are linked with it, exact copies included) of every row."""
+    rows, classes, links = join(docs, k, num, den)
+    size = rows.where("n > 0").groupBy("sid").agg(F.count("*").alias("c"))
+    ways = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    other = ways.join(size.withColumnRenamed("sid", "b"), "b").groupBy(F.col("a").alias("sid")).agg(F.sum("c").alias("others"))
+    per = size.join(other, "sid", "left").select("sid", (F.col("c") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    out = rows.select("doc_id", "sid", "n").join(per, "sid", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def survivors(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs with one row of each group: that of the smallest (id, text hash); rows without a shingle all stay."""
-    rows, classes, links = join(docs, k, num, den)
+    rows, classes, links = join(docs, k, num, den, complete=False)
     comp = connected_components(links, "a", "b").withColumnRenamed("node", "sid")
     at = classes.select("sid", "rep").join(comp, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     first = at.groupBy("component").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias("_d"), F.col("rep.thash").alias("_h"))

@@ -110,6 +110,26 @@ def test_jaccard_short_dominated_group(spark):
         assert len(linked) > 24 and {got[i] for i in linked} == {lo}
 
 
+def test_jaccard_all_links(spark):
+    """Every link between texts of a large family is returned and counted, not only a forest of them."""
+    rng = np.random.default_rng(4)
+    base = prose(2, 120).split()
+    texts = []
+    for i in range(120):
+        w = list(base)
+        for p in rng.choice(120, int(rng.integers(0, 5)), replace=False):
+            w[p] = f"e{i}x{p}"
+        texts.append(" ".join(w))
+    texts += [*short_family(117), texts[0], None, ""]
+    sets = [frozenset(tuple((t or "").split()[i : i + 4]) for i in range(len((t or "").split()) - 3)) for t in texts]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    want = np.bincount(np.array(near).ravel(), minlength=len(sets)).tolist()
+    d = docs(spark, texts)
+    _, _, links = jaccard.join(d)
+    assert links.distinct().count() == len({frozenset((sets[i], sets[j])) for i, j in near if sets[i] != sets[j]})
+    assert [r.n_links for r in sorted(jaccard.link_counts(d).collect(), key=lambda r: r.doc_id)] == want
+
+
 def test_jaccard_survivors(spark, corpus):
     d = docs(spark, [*corpus, corpus[0]], [*range(len(corpus)), 0])  # the first row once more
     left = jaccard.survivors(d)
