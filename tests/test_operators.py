@@ -154,3 +154,19 @@ def test_bbox_every_order(spark):
     pairs = rows.merge(rows, on="l_orderkey").query("l_linenumber_x < l_linenumber_y")
     got = {r.assigned: r.n for r in evaluation.bbox_iou_match(spark, sf).collect()}
     assert sum(got.values()) == len(pairs) and pairs["l_orderkey"].mod(10).nunique() == 10
+
+
+def test_leakage_and_lineage_whole(spark):
+    """Leakage is looked for in all documents, and the digest covers the orders."""
+    from gristlane.plans import curation, evaluation
+
+    sf = "/root/testdata/sf0.001"
+    roles = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "n_chars", F.sha2("text", 256).alias("sha")).collect():
+        for cell in (("sha", r.sha), ("n_chars", str(r.n_chars))):
+            roles.setdefault(cell, set()).add(r.doc_id % 5 == 0)
+    want = {cell for cell, seen in roles.items() if len(seen) == 2 and cell[1] not in (None, "None")}
+    got = [(r.field, r.value) for r in curation.leakage_report(spark, sf).collect()]
+    assert sorted(got) == sorted(want)
+    print("leaks", len(got), "of texts over 2000", sum(f == "n_chars" and int(v) > 2000 for f, v in got))
+    assert evaluation.lineage_digest(spark, sf).first().n == spark.read.parquet(f"{sf}/orders.parquet").count()
