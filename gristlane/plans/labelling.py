@@ -68,15 +68,15 @@ def provider_consensus(spark, sf_dir):
     t = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     j = t.join(one(1, "a"), "l_orderkey", "left").join(one(2, "b"), "l_orderkey", "left")
     over = S.iou(_box("a"), _box("b"))
-    status = F.when(F.col("x1a").isNull() | F.col("x1b").isNull(), "missing").when(over >= 0.25, "accepted").otherwise("apart")
-    return j.groupBy(status.alias("status")).agg(F.count("*").alias("n"), F.round(F.sum(F.when(over >= 0.25, (F.col("x1a") + F.col("x1b")) / 2)), 3).alias("x1_sum"))
+    status = F.when(F.col("x1a").isNull() | F.col("x1b").isNull(), "missing").when(over >= 0.75, "accepted").otherwise("apart")
+    return j.groupBy(status.alias("status")).agg(F.count("*").alias("n"), F.round(F.sum(F.when(over >= 0.75, (F.col("x1a") + F.col("x1b")) / 2)), 3).alias("x1_sum"))
 
 
 def same_box_candidate(spark, sf_dir):
     """The surest other box of an order that overlaps a weak first one: its number, ties to the lower."""
     b = _boxes(spark, sf_dir)
     one = b.where("l_linenumber = 1 and confidence < 0.8").select("l_orderkey", *[F.col(c).alias(c + "a") for c in ("x1", "y1", "x2", "y2")], F.col("confidence").alias("ca"))
-    j = one.join(b.where("l_linenumber > 1"), "l_orderkey").where((F.col("confidence") >= F.col("ca") * 0.9) & (S.iou(_box("a"), _box()) >= 0.3))
+    j = one.join(b.where("l_linenumber > 1"), "l_orderkey").where((F.col("confidence") >= F.col("ca") * 0.9) & (S.iou(_box("a"), _box()) >= 0.7))
     return joins.latest(j, ["l_orderkey"], F.desc("confidence"), "l_linenumber").select("l_orderkey", "l_linenumber", "confidence")
 
 

@@ -170,3 +170,22 @@ def test_leakage_and_lineage_whole(spark):
     assert sorted(got) == sorted(want)
     print("leaks", len(got), "of texts over 2000", sum(f == "n_chars" and int(v) > 2000 for f, v in got))
     assert evaluation.lineage_digest(spark, sf).first().n == spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
+def test_overlap_thresholds(spark):
+    """Boxes agree from an overlap of 0.75, and are candidates from 0.70, as in the reference."""
+    duckdb = pytest.importorskip("duckdb")
+    from gristlane.plans import labelling
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("lineitem", "orders"):
+        con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
+    sql = labelling.ORACLE_SQL["provider_consensus"].replace(">= 0.25", ">= 0.75")
+    want = {r[0]: r[1] for r in con.sql(f"SELECT status, n FROM ({sql})").fetchall()}
+    got = {r.status: r.n for r in labelling.provider_consensus(spark, sf).collect()}
+    sql = labelling.ORACLE_SQL["same_box_candidate"].replace(">= 0.3 ", ">= 0.7 ")
+    pairs = {r[:2] for r in con.sql(f"SELECT l_orderkey, l_linenumber FROM ({sql})").fetchall()}
+    mine = {(r.l_orderkey, r.l_linenumber) for r in labelling.same_box_candidate(spark, sf).collect()}
+    print("overlap", got, len(mine))
+    assert (got, mine) == (want, pairs)
