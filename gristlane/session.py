@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 _seq = itertools.count()
 
 
-def build(master: str = "local[*]", shuffle: int = 8, memory: str = "8g") -> SparkSession:
-    """A session with the settings that the operators assume (UTC, AQE)."""
+def build(master: str = "local[*]", shuffle: int = 8, memory: str = "8g", shared: str | None = None) -> SparkSession:
+    """A session with the settings that the operators assume (UTC, AQE).
+
+    ``shared``: the folder that driver and executors share, where spark.checkpoint.dir is not given already.
+    """
+    builder = SparkSession.builder.master(master)
+    if shared and "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        builder = builder.config("spark.checkpoint.dir", shared)
     return (
-        SparkSession.builder.master(master)
+        builder
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
@@ -27,10 +34,13 @@ def build(master: str = "local[*]", shuffle: int = 8, memory: str = "8g") -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where it is unset (tests, one machine) a folder under the warehouse is taken.
+    Only where it is unset and the session is local (tests, one machine) a folder under the warehouse
+    is taken; on a cluster an unset folder is an error.
     """
     got = spark.conf.get("spark.checkpoint.dir", None)
     if not got:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         got = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_shared"
         if "://" not in got and not got.startswith("file:"):
             got = "file://" + got

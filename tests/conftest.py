@@ -13,8 +13,7 @@ def spark(tmp_path_factory):
     from gristlane.session import build
 
     tmp = tmp_path_factory.mktemp("spark")
-    s = build("local[4]", 4, "4g")
-    s.conf.set("spark.checkpoint.dir", f"file://{tmp}") if not s.conf.get("spark.checkpoint.dir", None) else None
+    s = build("local[4]", 4, "4g", shared=f"file://{tmp}")
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
