@@ -31,8 +31,10 @@ from .sizes import small
 
 U = np.uint64
 K = 32
-#: classes of one anchor beyond which its windows are dealt singly
-CROWD = 512
+#: bytes of the anchors by which the segments of a crowded anchor are cut once more
+WIDE = 64
+#: classes of one anchor whose contents (0.7 MB) are one collection; a crowded anchor's segments are cut more finely
+CROWD = 4096
 
 
 def anchors(b: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -66,8 +68,8 @@ def _first_min(g: np.ndarray, w: int) -> np.ndarray:
     return at
 
 
-def _segments(width: int, k: int, known: np.ndarray, salts: int):
-    """mapInArrow function: rows (doc_id, thash, text) -> segments, dealt by anchor; the ``known`` frequent anchors are spread over salts."""
+def _segments(width: int, k: int, known: np.ndarray):
+    """mapInArrow function: rows (doc_id, thash, text) -> segments; those of the ``known`` frequent anchors are hot."""
 
     def run(batches):
         for batch in batches:
@@ -84,18 +86,14 @@ def _segments(width: int, k: int, known: np.ndarray, salts: int):
                 rows = np.concatenate(rows)
                 pick = pa.array(rows)
                 a, c, s, n = (np.concatenate(x) for x in out)
-                thash = batch.column(1).take(pick)
-                part = a
-                if len(known):
-                    hot = known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a
-                    salt = (thash.to_numpy(zero_copy_only=False) % salts + salts) % salts + 1
-                    part = np.where(hot, a + salt * 0x9E3779B9, a)
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(a), pa.array(c), batch.column(0).take(pick), thash, pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(part != a)], ["part", "anchor", "content", "doc_id", "thash", "start", "n", "hot"])
+                hot = known[np.minimum(np.searchsorted(known, a), len(known) - 1)] == a if len(known) else np.zeros(len(a), bool)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), batch.column(0).take(pick), batch.column(1).take(pick), pa.array(s.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(hot)], PLACES)
 
     return run
 
 
 LATER, WANTED, HOT, REPEAT = 0, 1, 2, 3
+PLACES = ["anchor", "content", "doc_id", "thash", "start", "n", "hot"]
 
 
 def _repeats(a: pa.Array) -> np.ndarray:
@@ -121,9 +119,9 @@ def _classes():
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a = batch.column(1).to_numpy(zero_copy_only=False)
-            c = batch.column(2).to_numpy(zero_copy_only=False)
-            hot = batch.column(7).to_numpy(zero_copy_only=False)
+            a = batch.column(0).to_numpy(zero_copy_only=False)
+            c = batch.column(1).to_numpy(zero_copy_only=False)
+            hot = batch.column(6).to_numpy(zero_copy_only=False)
             new_a, new_c = np.ones(len(a), bool), np.ones(len(a), bool)
             new_a[1:] = a[1:] != a[:-1]
             new_c[1:] = new_a[1:] | (c[1:] != c[:-1])
@@ -134,11 +132,11 @@ def _classes():
             table = pa.Table.from_batches([batch])
             kind = np.where(new_c, WANTED, LATER)
             again = ~new_c
-            for col in (3, 4, 5):
+            for col in (2, 3, 4):
                 again[1:] &= _repeats(batch.column(col))
-            now = tuple(batch.column(col)[0].as_py() for col in (3, 4, 5))
+            now = tuple(batch.column(col)[0].as_py() for col in (2, 3, 4))
             again[0] &= now == place
-            place = tuple(batch.column(col)[-1].as_py() for col in (3, 4, 5))
+            place = tuple(batch.column(col)[-1].as_py() for col in (2, 3, 4))
             kind[again] = REPEAT
             kind[hot & new_c] = HOT
             plain = np.flatnonzero(new_c & ~hot)
@@ -183,7 +181,7 @@ def _typed(table: pa.Table, kind, crowded) -> pa.Table:
     n = len(table)
     kind = np.full(n, WANTED) if kind is None else kind
     crowded = np.full(n, crowded) if np.ndim(crowded) == 0 else crowded
-    return pa.table([pa.array(kind.astype(np.int32)), *table.columns[1:7], pa.array(crowded)], ["kind", "anchor", "content", "doc_id", "thash", "start", "n", "crowded"])
+    return pa.table([pa.array(kind.astype(np.int32)), *table.columns[:6], pa.array(crowded)], ["kind", "anchor", "content", "doc_id", "thash", "start", "n", "crowded"])
 
 
 def _symbols(texts: list[bytes], step: int) -> np.ndarray:
@@ -347,34 +345,89 @@ def _resolve(width: int):
 
 
 def _fetch(width: int):
-    """Contents of wanted segments: (text, [anchor, start, n, crowded]) -> (part, doc_id, thash, start, raw)."""
+    """Contents of wanted segments: (doc_id, thash, text, [anchor, start, n]) -> (anchor, doc_id, thash, start, raw)."""
 
     def run(batches):
         for batch in batches:
-            part, row, start, raw = [], [], [], []
+            anchor, row, start, raw = [], [], [], []
             wanted = batch.column(3).to_pylist()
             for i, text in enumerate(batch.column(2)):
                 b = (text.as_py() or "").encode()
                 for w in wanted[i]:
-                    s, n = w["start"], w["n"]
-                    if not w["crowded"]:
-                        part.append(w["anchor"])
-                        row.append(i)
-                        start.append(s)
-                        raw.append(b[s : s + n + width - 1])
-                        continue
-                    for p in range(s, s + n):  # window by window, dealt by its own content
-                        x = b[p : p + width]
-                        part.append(int.from_bytes(hashlib.blake2b(x, digest_size=8).digest(), "little", signed=True))
-                        row.append(i)
-                        start.append(p)
-                        raw.append(x)
+                    anchor.append(w["anchor"])
+                    row.append(i)
+                    start.append(w["start"])
+                    raw.append(b[w["start"] : w["start"] + w["n"] + width - 1])
             pick = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), batch.column(0).take(pick), batch.column(1).take(pick), pa.array(start, pa.int32()), pa.array(raw, pa.binary())], ["part", "doc_id", "thash", "start", "raw"])
+            yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), batch.column(0).take(pick), batch.column(1).take(pick), pa.array(start, pa.int32()), pa.array(raw, pa.binary())], RAW)
 
     return run
 
 
+RAW = ["anchor", "doc_id", "thash", "start", "raw"]
+
+
+def _finer(width: int, k: int):
+    """Segments of contents by wider anchors, as rows of RAW again; at ``k`` = width a segment is one window, known by a digest."""
+
+    def run(batches):
+        for batch in batches:
+            anchor, row, start, raw = [], [], [], []
+            first = batch.column(3).to_numpy()
+            for i, content in enumerate(batch.column(4)):
+                x = content.as_py()
+                a, _, cut, n = anchors(np.frombuffer(x, np.uint8), width, k)
+                anchor.append(a)
+                row.append(np.full(len(a), i))
+                start.append(cut + first[i])
+                if k < width:
+                    raw += [x[s : s + m + width - 1] for s, m in zip(cut.tolist(), n.tolist(), strict=True)]
+                else:
+                    raw += [hashlib.blake2b(x[s : s + width], digest_size=16).digest() for s in cut.tolist()]
+            if not raw:
+                continue
+            pick = pa.array(np.concatenate(row))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(anchor)), batch.column(1).take(pick), batch.column(2).take(pick), pa.array(np.concatenate(start).astype(np.int32)), pa.array(raw, pa.binary())], RAW)
+
+    return run
+
+
+def _later_places(rows: DataFrame, n) -> tuple[DataFrame, DataFrame]:
+    """(first row of each equal anchor and content, runs of the other ones).
+
+    Groups are combined before the shuffle, and a group of many rows is split in the join back.
+    """
+    first = rows.groupBy("anchor", "raw").agg(F.min(F.struct("doc_id", "thash", "start")).alias("first"))
+    first = materialize(first.select(F.col("anchor").alias("a"), F.col("raw").alias("r"), "first.*"), "first-places")
+    first = first.select("a", "r", F.col("doc_id").alias("d"), F.col("thash").alias("h"), F.col("start").alias("s"))
+    met = rows.join(first, (rows["anchor"] == first["a"]) & (rows["raw"] == first["r"]))
+    # rows that repeat id and text are the same place again
+    later = met.where(~(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("thash") == F.col("h")) & (F.col("start") == F.col("s"))))
+    return first.select(F.col("a").alias("anchor"), F.col("d").alias("doc_id"), F.col("h").alias("thash"), F.col("s").alias("start"), F.col("r").alias("raw")), later.select("doc_id", "thash", "start", n.alias("n"))
+
+
+def _crowded(rows: DataFrame, width: int, parts: int, kind: str) -> DataFrame:
+    """Runs of windows of crowded anchors' contents that start earlier elsewhere, cut by anchors of WIDE bytes, then to single windows."""
+    found = None
+    for k in sorted({min(WIDE, width), width}):
+        finer = materialize(rows.mapInArrow(_finer(width, k), f"anchor long, doc_id {kind}, thash long, start int, raw binary"), "finer")
+        heads, later = _later_places(finer, F.lit(1) if k == width else (F.octet_length("raw") - (width - 1)))
+        found = later if found is None else found.unionByName(later)
+        if k == width:  # windows of one anchor are equal
+            return found
+        size = heads.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1").withColumnRenamed("anchor", "a")
+        more = materialize(heads.join(size, F.col("anchor") == F.col("a")).drop("a"), "classes")
+        found = found.unionByName(_ordered(more.where(F.col("m") <= CROWD).drop("m"), width, parts, kind))
+        rows = more.where(F.col("m") > CROWD).drop("m")
+        if not rows.limit(1).count():
+            return found
+
+
+def _ordered(raw: DataFrame, width: int, parts: int, kind: str) -> DataFrame:
+    """Runs of windows that start earlier, from the suffix orders of the anchors' collections."""
+    return raw.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_resolve(width), f"doc_id {kind}, thash long, start int, n int")
+
+
 def repeated(docs: DataFrame, width: int = 100, k: int = K, salts: int = 64, sample: int = 64) -> DataFrame:
     """(doc_id, thash, start, n): runs of windows that also start earlier, judged on the whole input.
 
@@ -386,12 +439,12 @@ def repeated(docs: DataFrame, width: int = 100, k: int = K, salts: int = 64, sam
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     kind = docs.schema["doc_id"].dataType.simpleString()
     base = docs.select("doc_id", F.xxhash64("text").alias("thash"), "text")
-    schema = f"part long, anchor long, content long, doc_id {kind}, thash long, start int, n int, hot boolean"
-    few = base.where(F.pmod("thash", F.lit(sample)) == 0).mapInArrow(_segments(width, k, np.zeros(0, np.int64), 1), schema)
+    schema = f"anchor long, content long, doc_id {kind}, thash long, start int, n int, hot boolean"
+    few = base.where(F.pmod("thash", F.lit(sample)) == 0).mapInArrow(_segments(width, k, np.zeros(0, np.int64)), schema)
     freq = few.groupBy("anchor").agg(F.count("*").alias("c")).where("c >= 6")
     # the most frequent anchors of the sample, at most 4096: a bounded list
     known = np.sort(np.array([r[0] for r in freq.orderBy(F.desc("c"), "anchor").limit(4096).collect()], np.int64))
-    seg = base.mapInArrow(_segments(width, k, known, salts), schema).repartition(parts, "part")
+    seg = base.mapInArrow(_segments(width, k, known), schema).repartition(parts, "anchor", F.when(F.col("hot"), F.pmod("thash", F.lit(salts))))
     seg = seg.sortWithinPartitions("anchor", "content", "doc_id", "thash", "start")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
     found = materialize(seg.mapInArrow(_classes(), f"kind int, anchor long, content long, doc_id {kind}, thash long, start int, n int, crowded boolean"), "found")
@@ -406,13 +459,19 @@ def repeated(docs: DataFrame, width: int = 100, k: int = K, salts: int = 64, sam
     classes = hot.where("rn = 1").groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
     more = hot.where("rn = 1").drop("crowded").join(classes, "anchor").withColumn("crowded", F.col("m") > CROWD)
     wanted = found.where(F.col("kind") == WANTED).select("anchor", *place, "crowded").unionByName(more.select("anchor", *place, "crowded"))
-    # of one text, so no more than its own segments
-    wanted = wanted.groupBy(F.col("doc_id").alias("d"), F.col("thash").alias("h")).agg(F.collect_list(F.struct("anchor", "start", "n", "crowded")).alias("w"))
     wanted = materialize(wanted, "wanted")
-    texts = base.join(small(wanted, weight="2 + size(w)"), base["doc_id"].eqNullSafe(wanted["d"]) & (base["thash"] == wanted["h"])).select("doc_id", "thash", "text", "w")
-    raw = texts.mapInArrow(_fetch(width), f"part long, doc_id {kind}, thash long, start int, raw binary")
-    met = raw.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_resolve(width), f"doc_id {kind}, thash long, start int, n int")
-    return later.unionByName(met)
+
+    def contents(which: DataFrame) -> DataFrame:
+        # of one text, so no more than its own segments; most texts have some, so the texts are dealt by id beside them
+        per = which.groupBy(F.col("doc_id").alias("d"), F.col("thash").alias("h")).agg(F.collect_list(F.struct("anchor", "start", "n")).alias("w"))
+        texts = base.join(per, base["doc_id"].eqNullSafe(per["d"]) & (base["thash"] == per["h"])).select("doc_id", "thash", "text", "w")
+        return texts.mapInArrow(_fetch(width), f"anchor long, doc_id {kind}, thash long, start int, raw binary")
+
+    out = later.unionByName(_ordered(contents(wanted.where("not crowded")), width, parts, kind))
+    crowded = wanted.where("crowded")
+    if crowded.limit(1).count():
+        out = out.unionByName(_crowded(contents(crowded), width, parts, kind))
+    return out
 
 
 def _cut(width: int, text_out: bool):
