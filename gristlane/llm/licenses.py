@@ -1,50 +1,30 @@
 """License scans by diagonal voting.
 
 All rolling word k-gram hashes of the texts are joined to the places where they stand in license
-templates.  A hit votes for its diagonal (place in the text less place in the template).  Diagonals
-that are near each other are merged, which bears words added or left out, and a merged diagonal is a
-span if its hits cover enough of the template's words.  Phrases that name a license are short
-templates whose diagonal must be whole.
+templates.  A hit votes for its diagonal (place in the text less place in the template).  Neighbouring
+diagonals are merged, which bears words added or left out, but no further than an eighth of the
+template.  A merged diagonal is a span, which is verified word by word: of the hits in order, the
+template's words that they cover and the span's words that they cover must both be enough.  Phrases
+that name a license are short templates whose diagonal must be whole.
 
 Words are runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z are lower-cased.
 
 Defined cases: a null or empty text has no words, labels or places; rows that repeat an id are rows of
-their own; overlapping places of a phrase all count.
+their own; overlapping places of a phrase all count; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-
-#: Phrases that name a license, and their labels.
-PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
-#: Opening passages and notices of well-known public licenses.
-TEMPLATES = {
-    "mit": [
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
-        "released under the mit license",
-    ],
-    "apache": [
-        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at",
-        "licensed under the apache license version 2 0",
-    ],
-    "gpl": [
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-        "this work is licensed under the gnu general public license version 3",
-    ],
-    "bsd": [
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
-    ],
-    "cc-by-nc": ["licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
-    "cc-by": ["this work is licensed under a creative commons attribution 4 0 international license"],
-    "mpl": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
-}
-
+from .license_texts import PHRASES, TEMPLATES
 
 def _hash(text: str) -> np.ndarray:
     b = W.LOWER[np.frombuffer(text.encode(), np.uint8)]
@@ -115,62 +95,92 @@ def hits(docs: DataFrame, k: int = 4, templates: dict | None = None, phrases: di
 def labels(docs: DataFrame, k: int = 4, drift: int = 3, cover: float = 0.6) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row.
 
-    ``drift``: diagonals this near are merged.  ``cover``: share of a template's words that its hits must hold.
+    ``drift``: diagonals this near are merged.  ``cover``: share of a template's words, and of a span's, that its hits must hold.
     """
     hit = hits(docs, k)
     sizes = F.max(F.when(F.col("place") < 0, F.col("two")))
-    long_ = F.when(F.col("template").isNotNull() & (F.col("place") >= 0), F.struct("template", (F.col("place") - F.col("at")).alias("diagonal"), "at", "place", "label", "size"))
-    short = F.when(F.col("p").isNotNull() & (F.col("place") >= 0), F.struct(F.col("p.template").alias("template"), (F.col("place") - F.col("p.at")).alias("diagonal"), F.col("p.at").alias("at"), "place", F.col("p.label").alias("label"), F.col("p.size").alias("size")))
+    vote = lambda template, at, size: F.struct(template.alias("template"), (F.col("place") - at).alias("diagonal"), at.alias("at"), size.alias("size"))
+    long_ = F.when(F.col("template").isNotNull() & (F.col("place") >= 0), vote(F.col("template"), F.col("at"), F.col("size")))
+    short = F.when(F.col("p").isNotNull() & (F.col("place") >= 0), vote(F.col("p.template"), F.col("p.at"), F.col("p.size")))
     kind = docs.schema["doc_id"].dataType.simpleString()
     # the hits of one text, a few words of license each: no more than its own words times the templates' repeats
     per = hit.groupBy("row").agg(F.first("doc_id").alias("doc_id"), sizes.alias("n_words"), F.collect_set(long_).alias("long"), F.collect_set(short).alias("short"))
-    return per.select("doc_id", "n_words", "long", "short").mapInArrow(_vote(k, drift, cover), f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
-
-
-def votes(hits: list[dict], k: int, drift: int, cover: float) -> list[tuple[str, int, int, float]]:
-    """(label, start, end, share) of the spans that the hits of one text add up to."""
+    named = dict(enumerate([*(label for label, texts in TEMPLATES.items() for _ in texts), *PHRASES.values()]))
+    return per.select("doc_id", "n_words", "long", "short").mapInArrow(_vote(k, drift, cover, named), f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+
+
+def _rising(at: np.ndarray) -> np.ndarray:
+    """Places of a longest strictly rising run of values, not necessarily next to one another."""
+    ends: list[int] = []  # the smallest value that a run of each length ends with
+    where: list[int] = []
+    back = np.full(len(at), -1)
+    for i, v in enumerate(at.tolist()):
+        n = bisect_left(ends, v)
+        ends[n : n + 1], where[n : n + 1] = [v], [i]
+        back[i] = where[n - 1] if n else -1
+    out, i = [], where[-1] if where else -1
+    while i >= 0:
+        out.append(i)
+        i = int(back[i])
+    return np.array(out[::-1], int)
+
+
+def _covered(starts: np.ndarray, k: int) -> int:
+    """Words that rising runs of k words cover."""
+    return int(np.minimum(np.diff(starts), k).sum() + k) if len(starts) else 0
+
+
+def spans(template: np.ndarray, diagonal: np.ndarray, at: np.ndarray, sizes: np.ndarray, k: int, drift: int, cover: float) -> list[tuple[int, int, int, float]]:
+    """(template, start, end, share) of the verified spans that the hits of one text add up to."""
+    order = np.lexsort((at, diagonal, template))
+    template, diagonal, at, sizes = template[order], diagonal[order], at[order], sizes[order]
     out = []
-    by: dict[int, list[dict]] = {}
-    for h in hits:
-        by.setdefault(h["template"], []).append(h)
-    for group in by.values():
-        group.sort(key=lambda h: (h["diagonal"], h["place"]))
-        runs, now = [], [group[0]]
-        for a, b in zip(group, group[1:]):  # neighbouring diagonals are one
-            if b["diagonal"] - a["diagonal"] <= drift:
-                now.append(b)
-            else:
-                runs.append(now)
-                now = [b]
-        runs.append(now)
-        for run in runs:
-            size = run[0]["size"]
-            held = np.zeros(size, bool)
-            for h in run:
-                held[h["at"] : h["at"] + k] = True
-            share = float(held.mean())
-            if share >= cover:
-                out.append((run[0]["label"], min(h["place"] for h in run), max(h["place"] for h in run) + k, share))
+    # runs of neighbouring diagonals, then cut where a run is wider than the template allows
+    edge = np.flatnonzero(np.concatenate([[True], (template[1:] != template[:-1]) | (diagonal[1:] - diagonal[:-1] > drift), [True]]))
+    for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        size = int(sizes[lo])
+        reach = max(drift, size // 8)
+        while lo < hi:
+            end = lo + int(np.searchsorted(diagonal[lo:hi], diagonal[lo] + reach, "right"))
+            if (end - lo) * k >= cover * size:  # fewer hits cannot cover enough
+                place = diagonal[lo:end] + at[lo:end]
+                by = np.lexsort((-at[lo:end], place))
+                picked = by[_rising(at[lo:end][by])]
+                mine, here = at[lo:end][picked], place[picked]
+                share = min(_covered(mine, k) / size, _covered(here, k) / (int(here[-1] - here[0]) + k))
+                if share >= cover:
+                    out.append((int(template[lo]), int(here[0]), int(here[-1]) + k, share))
+            lo = end
     return out
 
 
-def _vote(k: int, drift: int, cover: float):
+def _vote(k: int, drift: int, cover: float, names_of: dict[int, str]):
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
 
+    def columns(listed: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Offsets and the fields of a list of structs."""
+        listed = listed.combine_chunks() if isinstance(listed, pa.ChunkedArray) else listed
+        off = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False))]).astype(int)
+        flat = listed.flatten()
+        return off, [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in flat.flatten()]
+
     def run(batches):
         for batch in batches:
             rows = [[] for _ in names[1:]]
-            for n, long_, short in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                whole: dict[tuple, set] = {}
-                for h in short or ():
-                    whole.setdefault((h["template"], h["diagonal"], h["label"], h["size"]), set()).add(h["at"])
-                base = [(d, label) for (_, d, label, size), at in whole.items() if len(at) == size - 1]
-                spans = votes(long_, k, drift, cover) if long_ else []
-                named = sorted({label for _, label in base})
-                every = sorted({*named, *(s[0] for s in spans)})
-                places = [d for d, _ in base]
-                best = max([1.0] * bool(base) + [s[3] for s in spans], default=0.0)
-                for x, v in zip(rows, (n, len(base), min(places, default=None), max(places, default=None), ",".join(named), ",".join(every), best), strict=True):
+            lo, (lt, ld, la, ls) = columns(batch.column(2))
+            so, (st, sd, sa, ss) = columns(batch.column(3))
+            for i, n in enumerate(batch.column(1).to_pylist()):
+                # a phrase is whole where all of its pairs vote for one diagonal
+                a, b = so[i], so[i + 1]
+                whole, count = np.unique(np.stack([st[a:b], sd[a:b], ss[a:b]]), axis=1, return_counts=True) if b > a else (np.zeros((3, 0), int), np.zeros(0, int))
+                whole = whole[:, count == whole[2] - 1]
+                a, b = lo[i], lo[i + 1]
+                found = spans(lt[a:b], ld[a:b], la[a:b], ls[a:b], k, drift, cover) if b > a else []
+                named = sorted({names_of[t] for t in whole[0].tolist()})
+                every = sorted({*named, *(names_of[s[0]] for s in found)})
+                places = whole[1].tolist()
+                best = max([1.0] * bool(places) + [s[3] for s in found], default=0.0)
+                for x, v in zip(rows, (n, len(places), min(places, default=None), max(places, default=None), ",".join(named), ",".join(every), best), strict=True):
                     x.append(v)
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(r, t) for r, t in zip(rows, kinds, strict=True))], names)
