@@ -6,6 +6,11 @@ vector's neighbours.  Its first choice is a vector's own partition; a query goes
 ones, as many as reach the wanted recall on the part of the sample that it was not trained on.  All
 routed candidates are ranked by the exact cosine in double precision.
 
+Partitions grow in number with the index: where a partition would hold too many entries, a second
+router is learned from a bounded sample of that partition's own entries and cuts it again.  Entries and
+queries of a partition meet in blocks; a partition is repeated only as often as blocks of queries that
+were routed to it ask.
+
 Equal vectors are one entry that keeps the k + 1 smallest ids: no query can return more of them.
 
 Defined cases: null or zero vectors, vectors with null or non-finite components, vectors of another
@@ -15,6 +20,7 @@ with fewer than k candidates all are returned; an empty table gives an empty res
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +30,7 @@ from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .sizes import small
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -141,13 +148,46 @@ def _stack(column) -> np.ndarray:
     return np.array(column.tolist(), np.float64) if len(column) else np.zeros((0, 1))
 
 
-def _route(router: Router, probes: int):
+@dataclass(frozen=True)
+class Tree:
+    """A router, and one for each of its partitions that is cut again (None for the others).
+
+    A leaf is named by its partition times WIDE plus its place in it.
+    """
+
+    top: Router
+    below: tuple[Router | None, ...]
+
+    @property
+    def leaves(self) -> int:
+        return sum(r.parts if r else 1 for r in self.below)
+
+    def route(self, x: np.ndarray, probes: int | None, whole: bool = False) -> list[np.ndarray]:
+        """Leaves of each unit vector: its ``probes`` best partitions (the router's number if None) and of those the best leaves; all leaves if ``whole``."""
+        if whole:
+            every = np.array([p * WIDE + i for p, r in enumerate(self.below) for i in range(r.parts if r else 1)])
+            return [every] * len(x)
+        first = np.argsort(-self.top.logits(x), 1, kind="stable")[:, : probes or self.top.probes]
+        out: list[list[int]] = [[] for _ in range(len(x))]
+        for p in np.unique(first):
+            at = np.flatnonzero((first == p).any(1))
+            router = self.below[p]
+            second = np.argsort(-router.logits(x[at]), 1, kind="stable")[:, : probes or router.probes] if router else np.zeros((len(at), 1), int)
+            for i, leaves in zip(at.tolist(), second, strict=True):
+                out[i] += [int(p) * WIDE + int(s) for s in leaves]
+        return [np.array(o) for o in out]
+
+
+WIDE = 1 << 16
+
+
+def _route(tree: Tree, probes: int | None, whole: bool = False):
     def run(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
-            z = router.logits(unit(_stack(pdf["v"])))
-            yield pdf.assign(parts=list(np.argsort(-z, 1, kind="stable")[:, :probes].astype(np.int32)))
+            leaves = tree.route(unit(_stack(pdf["v"])), probes, whole)
+            yield pdf.assign(parts=[x.astype(np.int32) for x in leaves])
 
     return run
 
@@ -177,11 +217,40 @@ def _search(k: int):
     return run
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, parts: int = 16, sample: int = 4096, want: float = 0.97, block: int = 8192, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def learn(entries: DataFrame, n: int, parts: int, k: int, sample: int, want: float, leaf: int) -> Tree:
+    """The routers of n entries (v, ids): as many leaves as hold about ``leaf`` entries each, ``parts`` at least.
+
+    The upper router learns from ``sample`` entries in hash order, a lower one from as many of its own partition.
+    """
+    order = F.xxhash64(F.get("ids", F.lit(0)))
+    seen = np.array([r[0] for r in entries.select("v").orderBy(order).limit(sample).collect()], np.float64)
+    leaves = max(parts, -(-n // leaf))
+    upper = min(max(parts, int(np.ceil(np.sqrt(leaves)))), sample // 32)
+    lower = min(-(-leaves // upper), sample // 32)
+    # both levels must find a neighbour
+    top = train(unit(seen), upper, k, want if lower == 1 else want**0.5)
+    if lower == 1:
+        return Tree(top, (None,) * top.parts)
+    flat = Tree(top, (None,) * top.parts)
+    own = entries.mapInPandas(_route(flat, 1), "v array<double>, ids array<long>, parts array<int>").withColumn("part", F.get("parts", F.lit(0)))
+    own = own.withColumn("rn", F.row_number().over(Win.partitionBy("part").orderBy(order, "ids"))).where(F.col("rn") <= sample)
+
+    def fit(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        x = _stack(pdf.sort_values("rn")["v"])
+        r = train(unit(x), lower, k, want**0.5)
+        return pd.DataFrame({"part": [int(key[0])], "router": [pickle.dumps((r.w1, r.b1, r.w2, r.b2, r.probes, r.recall))]})
+
+    # a router a partition: at most sample / 32 networks
+    found = {r["part"] // WIDE: Router(*pickle.loads(r["router"])) for r in own.groupBy("part").applyInPandas(fit, "part int, router binary").collect()}
+    return Tree(top, tuple(found.get(p) if found.get(p) and found[p].parts > 1 else None for p in range(top.parts)))
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, parts: int = 16, sample: int = 4096, want: float = 0.97, block: int = 8192, leaf: int = 16384, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest of vectors for each row of queries.
 
-    ``sample`` bounds the rows that the router is fitted on, in hash order; every row is indexed.
-    ``block`` bounds the entries and the queries that one task compares.
+    ``sample`` bounds the rows that a router is fitted on, in hash order; every row is indexed.
+    ``block`` bounds the entries and the queries that one task compares, ``leaf`` is the wanted size of a
+    partition; ``parts`` is their least number.
     """
     rows = _clean(vectors, vec_id, vector)
     long_ = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), F.desc("d")).first()
@@ -195,34 +264,34 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, parts: int = 16,
     some = F.row_number().over(Win.partitionBy("v").orderBy("vec_id")) <= k + 1
     entries = rows.distinct().withColumn("keep", some).where("keep").groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     entries = materialize(entries, "entries")
-    n = entries.count()
-    seen = np.array([r[0] for r in entries.select("v").orderBy(F.xxhash64(F.get("ids", F.lit(0)))).limit(sample).collect()], np.float64)
-    router = train(unit(seen), parts, k, want)
-    probes = router.probes
-
-    number = F.greatest(F.lit(1), F.ceil(F.lit(n) / router.parts / block)).cast("int")
-    split = max(1, -(-asked.count() // block))
-    index = entries.mapInPandas(_route(router, 1), "v array<double>, ids array<long>, parts array<int>")
-    index = materialize(index.select("v", "ids", F.get("parts", F.lit(0)).alias("part"), F.pmod(F.xxhash64("ids"), number).cast("int").alias("b")), "index")
-    blocks = index.select(F.col("part").alias("to_part"), F.col("b").alias("to_b")).distinct()
-
-    def visit(asked: DataFrame, probes: int) -> DataFrame:
-        to = asked.select("query_id", "v").distinct().mapInPandas(_route(router, probes), "query_id long, v array<double>, parts array<int>")
-        to = to.select("query_id", "v", F.pmod(F.xxhash64("query_id"), F.lit(split)).cast("int").alias("s"), F.explode("parts").alias("part")).join(blocks, F.col("part") == F.col("to_part")).drop("part")
-        spread = index.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(split - 1))))
-        found = spread.groupBy("part", "b", "s").cogroup(to.groupBy("to_part", "to_b", "s")).applyInPandas(_search(k), "query_id long, vec_id long, score double")
+    tree = learn(entries, entries.count(), parts, k, sample, want, leaf)
+
+    index = entries.mapInPandas(_route(tree, 1), "v array<double>, ids array<long>, parts array<int>").withColumn("part", F.get("parts", F.lit(0)))
+    index = materialize(index.select("v", "ids", "part", F.xxhash64("ids").alias("h")), "index")
+    # a row a leaf: how many blocks it is cut into
+    held = index.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+
+    def visit(asked: DataFrame, whole: bool) -> DataFrame:
+        to = asked.select("query_id", "v").distinct().mapInPandas(_route(tree, None, whole), "query_id long, v array<double>, parts array<int>")
+        to = materialize(to.select("query_id", "v", F.explode("parts").alias("part")), "routed")
+        plan = held.join(to.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("splits")), "part")
+        plan = small(materialize(plan, "plan"))
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = index.join(plan, "part").select("part", "v", "ids", F.pmod("h", F.col("blocks")).cast("int").alias("b"), each("splits").alias("s"))
+        right = to.join(plan, "part").select(F.col("part").alias("to_part"), "query_id", "v", F.pmod(F.xxhash64("query_id"), F.col("splits")).cast("int").alias("to_s"), each("blocks").alias("to_b"))
+        found = left.groupBy("part", "b", "s").cogroup(right.groupBy("to_part", "to_b", "to_s")).applyInPandas(_search(k), "query_id long, vec_id long, score double")
         best = Win.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         # an id of several different vectors counts by its nearest
         found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         return materialize(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "found")
 
-    first = visit(asked, probes)
-    if probes == router.parts:
+    first = visit(asked, False)
+    if tree.leaves == 1:
         return first
     # queries whose partitions held too few are asked of all
     full = first.where(F.col("rank") == k).select("query_id")
     short = materialize(asked.join(full, "query_id", "left_anti"), "short")
     if not short.limit(1).count():
         return first
-    rest = visit(short, router.parts)
+    rest = visit(short, True)
     return first.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(rest)
