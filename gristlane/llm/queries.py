@@ -29,7 +29,7 @@ def op5_license_diagonals(spark, sf_dir):
 
 def op6_pfair_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.schedule(docs, power=0.7, frame=256, block=16)
+    return mixing.schedule(docs, power=0.7, block=16)
 
 
 def op7_suffix_dedup(spark, sf_dir):
@@ -45,7 +45,7 @@ def op9_bradley_terry_quality(spark, sf_dir):
 
 
 def op10_quotation_linking(spark, sf_dir):
-    return quotes.threads(table(spark, sf_dir, "conversations"))
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
 
 
 QUERIES = {f.__name__: f for f in (op1_learned_partition_ann, op2_winnow_decontamination, op3_dictionary_warc, op4_ngram_jaccard_join, op5_license_diagonals, op6_pfair_mixing, op7_suffix_dedup, op8_html_tree_scoring, op9_bradley_terry_quality, op10_quotation_linking)}
@@ -97,20 +97,20 @@ ORACLE_SQL = {
         FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op6_pfair_mixing": """
         WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-        w AS (SELECT source, n, pow(n::DOUBLE, 0.7) AS weight, row_number() OVER (ORDER BY coalesce(source, ''), source IS NULL) - 1 AS i, count(*) OVER () AS k, greatest(256, count(*) OVER ()) AS frame FROM c),
-        h AS (SELECT *, (frame - k) * weight / sum(weight) OVER () AS share FROM w),
-        q AS (SELECT *, (1 + floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, i) <= frame - k - sum(floor(share)) OVER () THEN 1 ELSE 0 END)::BIGINT AS quota FROM h),
-        l AS (SELECT list(quota ORDER BY i) AS q, max(frame)::BIGINT AS frame, max(k)::BIGINT AS k FROM q),
+        w AS (SELECT source, (n + 15) // 16 AS blocks, pow(n::DOUBLE, 0.7) AS weight, row_number() OVER (ORDER BY coalesce(source, ''), source IS NULL) - 1 AS i FROM c),
+        q AS (SELECT source, blocks, i, greatest(1, round(weight * 1073741824 / sum(weight) OVER ())::BIGINT) AS a FROM w),
+        l AS (SELECT list(a ORDER BY i) AS a, sum(a)::BIGINT AS total, count(*) AS k FROM q),
+        e AS (SELECT source, blocks, i, q.a, total, (blocks * total + q.a - 1) // q.a AS stop FROM q, l),
+        h AS (SELECT coalesce(((SELECT stop FROM e ORDER BY stop DESC, i LIMIT 1 OFFSET 1) + 255) // 256 * 256, 0) AS slots),
         edf(t, done, pick) AS (
             SELECT -1::BIGINT, list_transform(range(k), lambda x: 0::BIGINT), NULL::BIGINT FROM l
             UNION ALL
-            SELECT t + 1, list_transform(range(k), lambda x: done[x + 1] + CASE WHEN x = p THEN 1 ELSE 0 END), p FROM (
-                SELECT t, done, l.q, l.frame, l.k, list_sort(list_filter(list_transform(range(l.k), lambda x: CASE WHEN done[x + 1] < l.q[x + 1] AND (done[x + 1] * l.frame) // l.q[x + 1] <= t + 1 THEN {'d': ((done[x + 1] + 1) * l.frame + l.q[x + 1] - 1) // l.q[x + 1], 'i': x} END), lambda y: y IS NOT NULL))[1].i AS p
-                FROM edf, l WHERE t + 1 < l.frame)),
-        slots AS (SELECT t AS slot, pick AS i, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS nth FROM edf WHERE t >= 0),
-        r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY sha256(coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS no FROM documents),
-        b AS (SELECT r.doc_id, r.source, no // 16 AS block_no, (no % 16)::INT AS place, quota, frame, q.i FROM r JOIN q ON r.source IS NOT DISTINCT FROM q.source),
-        o AS (SELECT doc_id, source, block_no, place, (block_no // quota) * frame + slots.slot AS slot, (block_no // quota) * frame + ((block_no % quota) * frame) // quota AS release,
-              (block_no // quota) * frame + ((block_no % quota + 1) * frame + quota - 1) // quota AS due FROM b JOIN slots ON slots.i = b.i AND slots.nth = block_no % quota)
-        SELECT doc_id, source, block_no, place, slot, dense_rank() OVER (ORDER BY slot) - 1 AS position, release, due FROM o""",
+            SELECT t + 1, list_transform(done, lambda v, j: v + CASE WHEN j - 1 = p THEN 1 ELSE 0 END), p FROM (
+                SELECT t, done, list_sort(list_filter(list_transform(range(l.k), lambda y: CASE WHEN (done[y + 1] * l.total) // l.a[y + 1] <= t + 1 THEN {'d': ((done[y + 1] + 1) * l.total + l.a[y + 1] - 1) // l.a[y + 1], 'i': y} END), lambda y: y IS NOT NULL))[1].i AS p
+                FROM edf, l, h WHERE t + 1 < h.slots)),
+        s AS (SELECT t AS slot, pick AS i, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS block_no FROM edf WHERE t >= 0),
+        n AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY sha256(coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS no FROM documents),
+        d AS (SELECT n.doc_id, n.source, no // 16 AS block_no, (no % 16)::INT AS place, e.i, (no // 16 * total) // a AS release, ((no // 16 + 1) * total + a - 1) // a AS due FROM n JOIN e ON n.source IS NOT DISTINCT FROM e.source),
+        b AS (SELECT doc_id, source, block_no, place, coalesce(slot, due - 1) AS slot, release, due FROM d LEFT JOIN s USING (i, block_no))
+        SELECT doc_id, source, block_no, place, slot, dense_rank() OVER (ORDER BY slot) - 1 AS position, release, due FROM b""",
 }

@@ -7,9 +7,16 @@ A message replies to the latest message that it quotes at the first level; follo
 the root of its thread.  What remains of a message is its text without quotes, and without the line
 that announces one ("... wrote:").
 
+Conversations are built in reply order: a message, then each of its replies by turn, every one followed
+by its own replies.  A message's place is a sum along the way to its root, of the messages that stand
+before each step; sums and sizes are found by doubling, so a conversation of any size or depth needs no
+row or task that holds it.
+
 Defined cases: a null text is empty; a message that quotes nothing found begins a thread; a quote of
-a later or the same turn is not a link; of messages that share a turn all are linked as one; rows of a
-null conversation or turn are never linked; blank passages are no passages.
+a later or the same turn is not a link; of messages that share a turn all are linked as one, and stand
+together by role and text; rows of a null conversation or turn are never linked, and each is a
+conversation of its own; blank passages are no passages; an empty table gives an empty result; other
+columns than the four that are read are left out.
 """
 
 from __future__ import annotations
@@ -67,40 +74,91 @@ def parse(messages: DataFrame) -> DataFrame:
     return rows.withColumn("reply", F.regexp_replace(F.col("_b.reply"), r"^\s+|\s+$", "")).withColumn("passages", F.col("_b.passages")).drop("_l", "_b")
 
 
+def _doubled(state: DataFrame, sums: dict, name: str, below: str | None = None) -> DataFrame:
+    """state with the columns ``sums`` added up along the way to the root, and ``below`` over all that is below a row.
+
+    state has conv_id, turn and jump, the next turn on the way.  A round doubles the steps of a jump.
+    """
+    keys = ["conv_id", "turn"]
+    while state.where("jump is not null").limit(1).count():
+        ahead = state.select("conv_id", F.col("turn").alias("jump"), F.col("jump").alias("_jump"), *[F.col(c).alias(f"_{c}") for c in sums])
+        moved = state.join(ahead, ["conv_id", "jump"], "left")
+        new = {c: how(F.col(c), F.col(f"_{c}")) for c, how in sums.items()}
+        if below:
+            gained = state.where("jump is not null").groupBy("conv_id", F.col("jump").alias("turn")).agg(F.sum(below).alias("_below"))
+            moved = moved.join(gained, keys, "left")
+            new[below] = F.col(below) + F.coalesce("_below", F.lit(0))
+        state = materialize(moved.select(*[F.col("_jump").alias("jump") if c == "jump" else new[c].alias(c) if c in new else F.col(c) for c in state.columns]), name)
+    return state
+
+
+def _added(x: Column, more: Column) -> Column:
+    return x + F.coalesce(more, F.lit(0))
+
+
+#: turns of a run of replies whose sizes are added up in one piece
+RUN = 4096
+
+
+def _places(nodes: DataFrame) -> DataFrame:
+    """conv_id, turn, root, depth and start (messages of the thread before this turn) of nodes (conv_id, turn, parent, weight)."""
+    state = nodes.select("conv_id", "turn", F.col("parent").alias("jump"), F.coalesce("parent", "turn").alias("root"), F.col("parent").isNotNull().cast("long").alias("depth"), "parent", "weight", F.col("weight").alias("size"))
+    tree = _doubled(state, {"root": lambda x, far: F.coalesce(far, x), "depth": _added}, "trees", "size").drop("jump")
+    # sizes of earlier replies to the same turn: in runs, so that a turn of many replies is many tasks
+    replies = tree.where("parent is not null").withColumn("run", F.floor(F.col("turn") / RUN))
+    runs = replies.groupBy("conv_id", "parent", "run").agg(F.sum("size").alias("n"))
+    ahead = Win.partitionBy("conv_id", "parent").orderBy("run").rowsBetween(Win.unboundedPreceding, -1)
+    runs = runs.select("conv_id", "parent", "run", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    own = Win.partitionBy("conv_id", "parent", "run").orderBy("turn").rowsBetween(Win.unboundedPreceding, -1)
+    replies = replies.withColumn("earlier", F.coalesce(F.sum("size").over(own), F.lit(0))).join(runs, ["conv_id", "parent", "run"])
+    over = tree.select("conv_id", F.col("turn").alias("parent"), F.col("weight").alias("above"))
+    steps = replies.join(over, ["conv_id", "parent"]).select("conv_id", "turn", F.col("parent").alias("jump"), (F.col("above") + F.col("ahead") + F.col("earlier")).alias("start"))
+    roots = tree.where("parent is null").select("conv_id", "turn", F.lit(None).cast(nodes.schema["turn"].dataType).alias("jump"), F.lit(0).cast("long").alias("start"))
+    starts = _doubled(materialize(steps.unionByName(roots), "steps"), {"start": _added}, "starts").drop("jump")
+    return tree.select("conv_id", "turn", "root", "depth").join(starts, ["conv_id", "turn"])
+
+
 def threads(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, reply, n_quotes, n_linked, parent_turn, root_turn, depth and position of every row.
+    """conv_id, turn, role, reply, n_quotes, n_linked, parent_turn, root_turn, depth and position (from 1) of every row.
 
     Sort by conv_id, root_turn, position to read the conversations in reply order.
     """
     rows = parse(messages.select("conv_id", "turn", "role", "text"))
-    quoted = lambda p: p["level"] > 0
-    rows = rows.select("conv_id", "turn", "role", "reply", F.filter("passages", quoted).alias("q"), F.filter("passages", lambda p: p["level"] == 0).alias("o"), "text")
-    rows = rows.withColumn("n_quotes", F.size("q"))
-    # what a quote may match: a passage as a whole, or one of its lines
-    own_lines = F.transform(F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.struct(x.rlike(MARKS).alias("quote"), normal(x).alias("text"))), lambda x: ~x["quote"] & (x["text"] != "")), lambda x: F.xxhash64(x["text"]))
-    keys = F.array_distinct(F.concat(F.transform("o", lambda p: F.xxhash64(p["text"])), own_lines))
+    quotes = F.filter("passages", lambda p: p["level"] > 0)
+    # each line with its level: what a quote may match is a passage as a whole, or one of its lines
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: let(F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", "")), lambda n: F.struct(n.alias("level"), normal(F.when(n > 0, F.regexp_replace(x, MARKS, "")).otherwise(x)).alias("text")))), lambda x: x["text"] != "")
+    keyed = lambda p, i: F.struct(i.alias("i"), p["level"].alias("level"), F.xxhash64(p["text"]).alias("key"))
+    asks = F.array_distinct(F.concat(F.transform(quotes, keyed), F.transform(F.filter("_lines", lambda x: x["level"] > 0), lambda x: keyed(x, F.lit(-1)))))
+    says = F.array_distinct(F.concat(F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: F.xxhash64(p["text"])), F.transform(F.filter("_lines", lambda x: x["level"] == 0), lambda x: F.xxhash64(x["text"]))))
+    rows = rows.withColumn("_lines", lines).select("conv_id", "turn", "role", "reply", F.size(quotes).cast("long").alias("n_quotes"), asks.alias("asks"), says.alias("says"))
+    rows = materialize(rows, "parsed")
     has = rows.where("conv_id is not null and turn is not null")
-    linked = has.where("n_quotes > 0").select("conv_id", "turn", F.posexplode("q").alias("i", "p"), "text").select("conv_id", "turn", "i", F.col("p.level").alias("level"), F.xxhash64("p.text").alias("key"))
-    lines = has.where("n_quotes > 0").select("conv_id", "turn", F.explode(F.filter(F.transform(F.split("text", "\n"), lambda x: F.struct(F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", "")).alias("level"), normal(F.regexp_replace(x, MARKS, "")).alias("text"))), lambda x: (x["level"] > 0) & (x["text"] != ""))).alias("p")).select("conv_id", "turn", F.lit(-1).alias("i"), F.col("p.level").alias("level"), F.xxhash64("p.text").alias("key"))
-    wanted = materialize(linked.unionByName(lines).distinct(), "quoted")
+    wanted = materialize(has.select("conv_id", "turn", F.explode("asks").alias("q")).select("conv_id", "turn", "q.*").distinct(), "quoted")
     # only passages that some message of the conversation quotes; the first turn of each, combined before the shuffle
-    first = has.select("conv_id", "turn", F.explode(keys).alias("key")).join(wanted.select("conv_id", "key").distinct(), ["conv_id", "key"], "left_semi").groupBy("conv_id", "key").agg(F.min("turn").alias("original"))
-    found = materialize(wanted.join(first, ["conv_id", "key"]).where("original < turn"), "linked")
-    parent = found.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("level") == 1, F.col("original"))).alias("parent_turn"), F.count_distinct(F.when(F.col("i") >= 0, F.col("i"))).alias("n_linked"))
-    parent = materialize(parent, "parents")
-
-    # roots by doubling: each round follows twice as many replies
-    up = materialize(parent.where("parent_turn is not null").select("conv_id", "turn", F.col("parent_turn").alias("root"), F.lit(1).cast("long").alias("depth")), "up")
-    while True:
-        next_ = up.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("r2"), F.col("depth").alias("d2"))
-        moved = materialize(up.join(next_, ["conv_id", "root"], "left").select("conv_id", "turn", F.coalesce("r2", "root").alias("root"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.col("r2").isNotNull().alias("moved")), "up")
-        up = moved.drop("moved")
-        if not moved.where("moved").limit(1).count():
-            break
-
-    extra = parent.join(up, ["conv_id", "turn"], "left")
-    out = rows.join(extra, ["conv_id", "turn"], "left").withColumn("root_turn", F.coalesce("root", "turn"))
-    order = Win.partitionBy("conv_id", "root_turn").orderBy("turn", "role", "reply")
-    # rows of a null conversation are no thread: each stands first
-    position = F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), F.lit(1)).otherwise(F.row_number().over(order))
-    return out.select("conv_id", "turn", "role", "reply", F.col("n_quotes").cast("long").alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "parent_turn", "root_turn", F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), position.cast("long").alias("position"))
+    first = has.select("conv_id", "turn", F.explode("says").alias("key")).join(wanted.select("conv_id", "key").distinct(), ["conv_id", "key"], "left_semi").groupBy("conv_id", "key").agg(F.min("turn").alias("original"))
+    found = wanted.join(first, ["conv_id", "key"]).where("original < turn")
+    parent = found.groupBy("conv_id", "turn").agg(F.max(F.when(F.col("level") == 1, F.col("original"))).alias("parent"), F.count_distinct(F.when(F.col("i") >= 0, F.col("i"))).alias("n_linked"))
+    nodes = materialize(has.groupBy("conv_id", "turn").agg(F.count("*").alias("weight")).join(parent, ["conv_id", "turn"], "left"), "nodes")
+    at = _places(nodes).join(nodes.select("conv_id", "turn", F.col("parent").alias("parent_turn"), "n_linked"), ["conv_id", "turn"])
+
+    within = Win.partitionBy("conv_id", "turn").orderBy("role", "reply")
+    placed = has.withColumn("_n", F.row_number().over(within)).join(at, ["conv_id", "turn"])
+    columns = ["conv_id", "turn", "role", "reply", "n_quotes", F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "parent_turn", F.col("root").alias("root_turn"), "depth", (F.col("start") + F.col("_n")).cast("long").alias("position")]
+    none = F.lit(None).cast(rows.schema["turn"].dataType)
+    alone = rows.where("conv_id is null or turn is null").select("conv_id", "turn", "role", "reply", "n_quotes", F.lit(0).cast("long").alias("n_linked"), none.alias("parent_turn"), F.col("turn").alias("root_turn"), F.lit(0).cast("long").alias("depth"), F.lit(1).cast("long").alias("position"))
+    return placed.select(*columns).unionByName(alone)
+
+
+def conversations(messages: DataFrame, most: int = 1000) -> DataFrame:
+    """conv_id, root_turn, part, n_messages and, in reply order, turns, roles, depths and texts without quotes.
+
+    A conversation of more than ``most`` messages goes on in the next part.
+    """
+    rows = threads(messages)
+    one = F.struct("position", "turn", "role", "depth", "reply")
+    part = F.expr(f"(position - 1) div {most}")
+    linked = rows.where("conv_id is not null and turn is not null").groupBy("conv_id", "root_turn", part.alias("part")).agg(F.sort_array(F.collect_list(one)).alias("m"))
+    alone = rows.where("conv_id is null or turn is null").select("conv_id", "root_turn", F.lit(0).cast("long").alias("part"), F.array(one).alias("m"))
+    both = linked.unionByName(alone)
+    parts = {"turns": "turn", "roles": "role", "depths": "depth", "texts": "reply"}
+    return both.select("conv_id", "root_turn", "part", F.size("m").cast("long").alias("n_messages"), *[F.expr(f"transform(m, x -> x.{c})").alias(name) for name, c in parts.items()])
