@@ -76,9 +76,49 @@ CONFLICTS = [("can", "plastic"), ("plastic", "paper"), ("plastic", "styrofoam"),
 
 
 def conflict_recheck(first: Column, confidence: Column, second: Column) -> Column:
-    """Whether a confident first opinion and a second one differ in a way that matters for safety."""
+    """Whether a confident first opinion and a second one differ in a way that matters for safety; no second one differs from a rejected first."""
     pair = F.concat_ws("/", F.least(first, second), F.greatest(first, second))
     listed = pair.isin(*["/".join(sorted(p)) for p in CONFLICTS])
     strict = (first == "plastic") & second.isin("paper", "styrofoam")
-    guarded = F.when(first.isin(*REJECTED), ~second.isin(*REJECTED)).otherwise(F.lit(False))
+    guarded = F.when(first.isin(*REJECTED), ~F.coalesce(second.isin(*REJECTED), F.lit(False))).otherwise(F.lit(False))
     return F.coalesce(F.when(confidence < 0.85, False).when(strict, confidence >= 0.95).when(listed, True).otherwise(guarded), F.lit(False))
+
+
+# Thresholds of the decision, by the name of the rule.
+TRUST = 0.55
+RESCUE = 0.50
+DENT = 0.90
+VINYL_RULE = {"candidate": 0.10, "ratio": 0.40, "iou": 0.70, "verifier": 0.65, "margin": 0.25}
+
+
+def vinyl_candidate(cls: Column, confidence: Column, other: Column, other_confidence: Column, iou: Column) -> Column:
+    """Whether another box is a vinyl candidate on the same object as a weak pet or plastic one."""
+    weak = cls.isin("pet", "plastic") & (confidence < TRUST)
+    return F.coalesce(weak & (other == "vinyl") & (other_confidence >= VINYL_RULE["candidate"]) & (other_confidence >= confidence * VINYL_RULE["ratio"]) & (iou >= VINYL_RULE["iou"]), F.lit(False))
+
+
+def decide(cls: Column, confidence: Column, candidate: Column, second: Column, second_confidence: Column, gate: bool = False) -> tuple[Column, Column, Column, Column]:
+    """(class, confidence, correction, deferred): vinyl correction, then rescue of a weak detection, then the agreement gate.
+
+    Without a second opinion nothing is corrected or deferred; for the gate pet and plastic are one.
+    """
+    vinyl = F.coalesce(candidate & (second == "vinyl") & (second_confidence >= VINYL_RULE["verifier"]) & (second_confidence - confidence >= VINYL_RULE["margin"]), F.lit(False))
+    rescue = F.coalesce(~vinyl & (confidence < TRUST) & second.isNotNull() & (second_confidence >= RESCUE), F.lit(False))
+    correction = F.when(vinyl, "vinyl").when(rescue, "rescue").otherwise("none")
+    final = F.when(vinyl | rescue, second).otherwise(cls)
+    one = lambda c: F.when(c == "pet", "plastic").otherwise(c)
+    deferred = F.coalesce(one(second) != one(final), F.lit(False)) if gate else F.lit(False)
+    return final, F.when(vinyl | rescue, second_confidence).otherwise(confidence), correction, deferred
+
+
+def head_conditions(has_label: Column, is_dented: Column, label_head: Column, dent_head: Column, dent_confidence: Column) -> tuple[Column, Column]:
+    """Conditions as the second opinion's heads say, where both have a say; dented only if the head is sure."""
+    label = F.when(has_label.isNotNull() & label_head.isNotNull(), label_head).otherwise(has_label)
+    dented = F.when(is_dented.isNotNull() & dent_head.isNotNull(), dent_head & (dent_confidence >= DENT)).otherwise(is_dented)
+    return label, dented
+
+
+def reviewed_label(expected: Column, is_correct: Column, deployed: Column, known: list[str]) -> Column:
+    """The class that a review names, or the deployed one if it calls that correct; null for others."""
+    named = F.coalesce(F.when(expected != "", expected), F.when(is_correct, deployed))
+    return F.when(named.isin(known), named)

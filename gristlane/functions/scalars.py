@@ -17,6 +17,11 @@ FALLBACK_WEIGHT = {"pet": 300.0, "can": 200.0, "plastic": 500.0, "paper": 2000.0
 MARGIN = 15.0
 
 
+def let(value: Column, then) -> Column:
+    """then(value) with the value computed once: an expression that a lambda repeats would be computed for every element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def micros(ts) -> Column:
     """Microseconds since the epoch; a time without a zone counts as UTC under the session's setting."""
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
@@ -72,6 +77,72 @@ def pad_and_clip(box, share: float, width: Column, height: Column):
     return (F.greatest(F.lit(0.0), F.floor(x1 - dx)), F.greatest(F.lit(0.0), F.floor(y1 - dy)), F.least(width, F.ceil(x2 + dx)), F.least(height, F.ceil(y2 + dy)))
 
 
+def expand_and_clip(box, margin: float, width: Column, height: Column):
+    """A box grown by a share of its sides on each side, within the image."""
+    x1, y1, x2, y2 = box
+    dx, dy = (x2 - x1) * margin, (y2 - y1) * margin
+    return (F.greatest(F.lit(0.0), x1 - dx), F.greatest(F.lit(0.0), y1 - dy), F.least(width, x2 + dx), F.least(height, y2 + dy))
+
+
+def overlap(a, b) -> Column:
+    """Whether two boxes of positive area share some."""
+    solid = (a[2] > a[0]) & (a[3] > a[1]) & (b[2] > b[0]) & (b[3] > b[1])
+    return solid & (F.least(a[2], b[2]) > F.greatest(a[0], b[0])) & (F.least(a[3], b[3]) > F.greatest(a[1], b[1]))
+
+
+def background_state(material: Column, background, truth, crop, width: Column, height: Column, margin: float = 0.1) -> Column:
+    """Whether a crop is strictly background: it must not meet the truth's box grown by a margin (names are fixed values)."""
+    near = overlap(crop, expand_and_clip(truth, margin, width, height))
+    return F.when(material.isNull(), "ambiguous_assignment").when(material != background, "not_background").when(crop[0].isNull(), "invalid_crop").when(truth[0].isNull(), "accepted_empty_source").when(near, "rejected_gt_intersection").otherwise("accepted_zero_intersection")
+
+
+def parse_box(text: Column, width: Column, height: Column, least: float, most: float) -> tuple[Column, Column]:
+    """(corner box as a struct, reason) of a JSON value: [x1, y1, x2, y2], or an object of corners or of a corner and sizes; the other is null.
+
+    The reasons are fixed values.
+    """
+    at = lambda path: F.get_json_object(text, path)
+    has = lambda *names: F.size(F.array_intersect(F.json_object_keys(text), F.array(*map(F.lit, names)))) == len(names)
+    shape = F.when(F.size(F.from_json(text, "array<string>")) == 4, 0).when(has("x1", "y1", "x2", "y2"), 1).when(has("x", "y", "width", "height"), 2).when(F.json_object_keys(text).isNotNull(), 3).otherwise(4)
+    number = lambda path: at(path).try_cast("double")
+
+    def corners(kind: Column) -> Column:
+        by = lambda i, name, sized: F.when(kind == 0, number(f"$[{i}]")).when(kind == 1, number(f"$.{name}")).when(kind == 2, sized)
+        x1, y1 = by(0, "x1", number("$.x")), by(1, "y1", number("$.y"))
+        x2, y2 = by(2, "x2", number("$.x") + number("$.width")), by(3, "y2", number("$.y") + number("$.height"))
+        return F.struct(kind.alias("kind"), F.struct(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2")).alias("box"))
+
+    def judged(v: Column) -> Column:
+        x1, y1, x2, y2 = (v["box"][c] for c in ("x1", "y1", "x2", "y2"))
+        odd = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
+        share = (x2 - x1) * (y2 - y1) / (width * height)
+        reason = (
+            F.when(v["kind"] == 4, "bbox_missing").when(v["kind"] == 3, "bbox_invalid_shape").when(x1.isNull() | y1.isNull() | x2.isNull() | y2.isNull(), "bbox_non_numeric").when(odd(x1) | odd(y1) | odd(x2) | odd(y2), "bbox_non_finite")
+            .when((x1 < 0) | (y1 < 0) | (x2 > width) | (y2 > height) | (x2 <= x1) | (y2 <= y1), "bbox_out_of_bounds").when(share < least, "bbox_area_too_small").when(share > most, "bbox_area_too_large")
+        )
+        return F.struct(v["box"].alias("box"), reason.alias("reason"))
+
+    out = let(let(shape, corners), judged)
+    return F.when(out["reason"].isNull(), out["box"]), out["reason"]
+
+
+def box_score(box, confidence: Column, width: Column, height: Column) -> Column:
+    """Confidence less penalties for distance from the usual place and for an unusual size; null for a box that is out of the question.
+
+    The place, the sizes and the penalties are fixed values.
+    """
+    x1, y1, x2, y2 = box
+    share = (x2 - x1) * (y2 - y1) / (width * height)
+    away = F.hypot((x1 + x2) / 2 / width - 0.5, (y1 + y2) / 2 / height - 0.55)
+    odd = F.abs(F.log(F.greatest(share, F.lit(1e-6)) / 0.20)) * 0.05
+    return F.when((x2 - x1 > 2) & (y2 - y1 > 2) & (share >= 0.003) & (share <= 0.92), confidence - away * 0.20 - odd)
+
+
+def first_path(json: Column, *paths: str) -> Column:
+    """The first value that one of several paths of a JSON text has."""
+    return F.coalesce(*[F.get_json_object(json, p) for p in paths])
+
+
 def centred(x: Column, y: Column, w: Column, h: Column, width: Column, height: Column):
     """Centre and size of a corner box as shares of the image, within 0..1."""
 
@@ -120,9 +191,24 @@ def weight_anomaly(cls: Column, grams: Column, ratio: Column) -> Column:
 
 
 def softmax(logits: Column) -> Column:
-    top = F.array_max(logits)
-    e = F.transform(logits, lambda x: F.exp(x - top))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, v: a + v))
+    def shares(e: Column) -> Column:
+        return let(F.aggregate(e, F.lit(0.0), lambda a, v: a + v), lambda total: F.transform(e, lambda x: x / total))
+
+    return let(F.array_max(logits), lambda top: let(F.transform(logits, lambda x: F.exp(x - top)), shares))
+
+
+def view_mean(views: Column) -> Column:
+    """Mean of the arrays of an array, place by place (the first one's length); null without any."""
+    first = F.get(views, F.lit(0))
+    total = F.aggregate(F.slice(views, 2, F.greatest(F.size(views), F.lit(1))), first, lambda a, v: F.zip_with(a, v, lambda x, y: x + y))
+    return F.transform(total, lambda x: x / F.size(views))
+
+
+def argmax(values: Column) -> tuple[Column, Column]:
+    """(index of the one greatest value, whether several share it); a tie has no index."""
+    top = F.array_max(values)
+    tied = let(top, lambda t: F.size(F.filter(values, lambda v: v == t)) > 1)
+    return F.when(~tied, (F.array_position(values, top) - 1).cast("int")), tied
 
 
 def ranked(values: Column) -> Column:
@@ -190,7 +276,11 @@ def box_quality(box, width: Column, height: Column) -> tuple[Column, Column, Col
     return ratio, touches, (ratio >= 0.5) | (touches >= 2)
 
 
-def on_platform(box, width: Column, height: Column, centre=(0.5, 0.6), radius=(0.25, 0.25), strip: float = 1.6, stretch=(2.0, 1.5), anchor: float = 0.85) -> Column:
+# The platform's centre and radii and how far detection reaches beyond them, as shares of the image.
+PLATFORM = {"centre": (0.447, 0.590), "radius": (0.175, 0.160), "strip": 1.5, "stretch": (2.0, 2.5), "anchor": 0.85}
+
+
+def on_platform(box, width: Column, height: Column, centre=PLATFORM["centre"], radius=PLATFORM["radius"], strip: float = PLATFORM["strip"], stretch=PLATFORM["stretch"], anchor: float = PLATFORM["anchor"]) -> Column:
     """Whether the lower centre of a box lies in the strip and the ellipse around a platform; false for a degenerate box."""
     x1, y1, x2, y2 = box
     ax, ay = (x1 + x2) / 2 / width, (y1 + (y2 - y1) * anchor) / height
@@ -219,3 +309,9 @@ def valid_crop(count: Column, size: Column, x, y, w, h, width, height, least_byt
     share = w * h / (width * height)
     ok = (n == 1) & (b >= least_bytes) & (F.least(width, height, w, h) > 1) & (F.least(x, y) >= 0) & (x + w <= width + 2) & (y + h <= height + 2) & share.between(0.02, 0.95)
     return F.coalesce(ok, F.lit(False))
+
+
+def eligible(split: Column, category: Column, targets: list[str], count: Column, size: Column, share: Column, least_bytes: int, least: float, most: float, clean: Column | None = None) -> Column:
+    """Training rows of wanted categories with one object, enough bytes and a share of the image within bounds; what is no number is not eligible."""
+    ok = (F.lower(split) == "training") & category.isin(targets) & (count.try_cast("int") == 1) & (size.try_cast("int") >= least_bytes) & share.between(least, most)
+    return F.coalesce(ok if clean is None else ok & clean, F.lit(False))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import latest
 
 
@@ -55,28 +56,29 @@ def exclusion_reasons(df: DataFrame, key: str, reasons: dict[str, DataFrame]) ->
     return df.select(key).distinct().join(tagged, key).groupBy(key).agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons"), F.count_distinct("reason").alias("n"))
 
 
-def greedy_matching(edges: DataFrame, left: str, right: str, *order: str) -> DataFrame:
-    """Edges kept by the greedy pass in the given order that takes an edge if both ends are free.
+def greedy_resolution(edges: DataFrame, left: str, right: str, winner: str, *order: str) -> DataFrame:
+    """Edges that cost their other end its place, with that end as ``loser``: edges are taken in the given order, one with a dropped end is passed over, and of any other the end that is not the ``winner`` is dropped.
 
-    In rounds: an edge that is first at both of its ends is taken, and edges at its ends go.  An edge
-    waits only for earlier ones that share an end, so the rounds give what the sequence gives.
+    The order must tell all edges apart.  In rounds: an edge that is first at both of its ends is
+    taken, and all edges at its loser go; those of the winner wait for the next round.  An edge waits
+    only for earlier ones that share an end, so the rounds give what the sequence gives.
     """
-    from ..session import materialize
-
-    rank = [F.col(o) for o in order]
-    now, taken = materialize(edges, "edges"), None
+    rank = F.struct(*order)
+    now, taken = materialize(edges.withColumn("loser", F.when(F.col(winner) == F.col(left), F.col(right)).otherwise(F.col(left))), "edges"), None
     while now.limit(1).count():
-        ends = now.select(F.struct(*rank).alias("r"), F.explode(F.array(left, right)).alias("e"))
-        first = ends.groupBy("e").agg(F.min("r").alias("m"))
+        first = now.select(rank.alias("r"), F.explode(F.array(left, right)).alias("e")).groupBy("e").agg(F.min("r").alias("m"))
         a, b = first.select(F.col("e").alias(left), F.col("m").alias("ma")), first.select(F.col("e").alias(right), F.col("m").alias("mb"))
-        won = materialize(now.join(a, left).join(b, right).where((F.struct(*rank) == F.col("ma")) & (F.struct(*rank) == F.col("mb"))).select(*edges.columns), "taken")
+        won = materialize(now.join(a, left).join(b, right).where((rank == F.col("ma")) & (rank == F.col("mb"))).select(*now.columns), "taken")
         taken = won if taken is None else taken.unionByName(won)
-        gone = won.select(F.explode(F.array(left, right)).alias("g"))
-        now = materialize(now.join(gone, F.col(left) == F.col("g"), "left_anti").join(gone, F.col(right) == F.col("g"), "left_anti"), "edges")
-    return taken if taken is not None else edges.limit(0)
-
-
-def windowed_latest(df: DataFrame, by: str, ts: str, tie: str) -> DataFrame:
-    """The latest row of each key; equal times go to the smaller tie."""
-    w = W.partitionBy(by).orderBy(F.col(ts).desc(), F.col(tie).asc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+        gone = won.select(F.col("loser").alias("g")).distinct()
+        left_over = now.join(won.select(left, right), [left, right], "left_anti")
+        now = materialize(left_over.join(gone, F.col(left) == F.col("g"), "left_anti").join(gone, F.col(right) == F.col("g"), "left_anti"), "edges")
+    return taken if taken is not None else now
+
+
+def reason_counts(df: DataFrame, reasons: str, key: str, examples: int = 100) -> DataFrame:
+    """reason, n and the first so many keys in order; a row counts under each of its reasons."""
+    one = df.select(key, F.explode(F.array_distinct(reasons)).alias("reason"))
+    shown = one.withColumn("_rn", F.row_number().over(W.partitionBy("reason").orderBy(key))).where(F.col("_rn") <= examples)
+    shown = shown.groupBy("reason").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_rn", F.col(key).cast("string").alias("k")))), lambda x: x["k"]), ",").alias("examples"))
+    return one.groupBy("reason").agg(F.count("*").alias("n")).join(shown, "reason")

@@ -64,8 +64,30 @@ def transitions(df: DataFrame, before: str, after: str) -> DataFrame:
 def digest(df: DataFrame, *columns: str) -> DataFrame:
     """One row: number of rows and a SHA-256 that does not depend on their order.
 
-    Rows are hashed and combined in two steps, 256 groups by the first byte, so no task holds them all.
+    Rows are hashed, and hashes are combined by their first 6, 4 and 2 digits in turn, so that a group
+    holds a part in 256 ** 3 of the rows, then 256 digests.
     """
-    h = df.select(F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256).alias("h"))
-    per = h.groupBy("h").agg(F.count("*").alias("c")).groupBy(F.substring("h", 1, 2).alias("g")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "h", "c"))), ","), 256).alias("d"), F.sum("c").alias("n"))
-    return per.agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "d"))), lambda x: x["d"]), ","), 256).alias("digest"))
+    h = df.select(F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256).alias("g"))
+    level = h.groupBy("g").agg(F.count("*").alias("n")).select("g", F.concat_ws(":", "g", "n").alias("d"), "n")
+    for length in (6, 4, 2, 0):
+        joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("g", "d"))), lambda x: x["d"]), ",")
+        level = level.groupBy(F.substring("g", 1, length).alias("g")).agg(joined.alias("j"), F.sum("n").alias("n")).select("g", F.sha2("j", 256).alias("d"), "n")
+    return level.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("d").alias("digest"))
+
+
+def heads(df: DataFrame, tasks: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """task, truth, predicted, n and the sum of confidence: labels of several heads, each (truth, prediction, confidence), masked ones (-1, null) left out."""
+    cells = F.array(*[F.struct(F.lit(t).alias("task"), F.col(a).cast("string").alias("truth"), F.col(b).cast("string").alias("predicted"), F.col(c).cast("double").alias("confidence")) for t, (a, b, c) in tasks.items()])
+    flat = df.select(F.explode(cells).alias("x")).select("x.*").where("truth is not null and truth <> '-1'")
+    return flat.groupBy("task", "truth", "predicted").agg(F.count("*").alias("n"), F.sum("confidence").alias("confidence"))
+
+
+def head_scores(cells: DataFrame) -> DataFrame:
+    """task, n, accuracy, balanced_accuracy (mean recall of the classes with support) and mean_confidence."""
+    per = cells.groupBy("task", "truth").agg(F.sum("n").alias("support"), F.sum(F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(0)).alias("hits"), F.sum("confidence").alias("confidence"))
+    return per.groupBy("task").agg(F.sum("support").alias("n"), (F.sum("hits") / F.sum("support")).alias("accuracy"), F.avg(F.col("hits") / F.col("support")).alias("balanced_accuracy"), (F.sum("confidence") / F.sum("support")).alias("mean_confidence"))
+
+
+def selection_score(scores: DataFrame) -> DataFrame:
+    """One row: mean balanced accuracy over the heads."""
+    return scores.agg(F.count("*").alias("heads"), F.avg("balanced_accuracy").alias("score"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,8 +24,27 @@ def hash_top_k(df: DataFrame, by: list[str], k: int, seed: str, key: str) -> Dat
 
 
 def capped(df: DataFrame, by: str, rare: list, k: int, seed: str, key: str) -> DataFrame:
-    """At most k rows of each group by hash, all rows of rare ones."""
-    return ranked(df.withColumn("_h", order_hash(seed, key)), [by], "_h", key).where((F.col("rank") <= k) | F.col(by).isin(rare)).drop("_h")
+    """At most k rows of each group by hash, all rows of rare ones (rank null).
+
+    Only the other groups are ranked, and those are cut to k within each task before the shuffle.
+    """
+    often = df.where(~F.coalesce(F.col(by).isin(rare), F.lit(False)))
+    top = ranked(often.withColumn("_h", order_hash(seed, key)), [by], "_h", key).where(F.col("rank") <= k).drop("_h")
+    return top.unionByName(df.where(F.col(by).isin(rare)).withColumn("rank", F.lit(None).cast("int")))
+
+
+def distinct_capped(df: DataFrame, identity: str, by: list[str], k: int, *order) -> DataFrame:
+    """Of rows of equal identity the first in the order, and of those the first k of each group.
+
+    Filling a quota in order and passing over identities already seen gives the same, since the first
+    row of an identity is the one that counts.
+    """
+    return ranked(ranked(df, [identity], *order, column="_seen").where("_seen = 1").drop("_seen"), by, *order).where(F.col("rank") <= k)
+
+
+def examples(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first n rows in a total order: a bounded report."""
+    return df.orderBy(*order).limit(n)
 
 
 def round_robin(df: DataFrame, strata: list[str], n: int, seed: str, key: str, priority=None) -> DataFrame:
@@ -97,7 +114,8 @@ def quota(df: DataFrame, by: str, n: int, tier: Column, seed: str, key: str) ->
     """n rows of each group: those of the anchor tier (0) up to max(1, n / 5), the rest by tier, then hash."""
     anchors = max(1, n // 5)
     d = df.withColumns({"_t": tier, "_h": order_hash(seed, key)})
-    d = ranked(d, [by, "_t"], "_h", key, column="_r")
+    # no tier can give more than n, so that tasks cut to n before the shuffle
+    d = ranked(d, [by, "_t"], "_h", key, column="_r").where(F.col("_r") <= n)
     d = d.withColumn("_first", F.when((F.col("_t") == 0) & (F.col("_r") <= anchors), 0).otherwise(F.when(F.col("_t") == 0, 3).otherwise(F.col("_t"))))
     return ranked(d, [by], "_first", "_h", key).where(F.col("rank") <= n).withColumn("tier", F.col("_t")).drop("_t", "_h", "_r", "_first")
 
@@ -115,11 +133,6 @@ def oldest_first_budget(df: DataFrame, ts: str, size: str, key: str, budget: int
     return own.join(F.broadcast(before), "_run").withColumn("running", F.col("_before") + F.col("_own")).where(F.col("running") <= budget).drop("_run", "_before", "_own")
 
 
-def expected_copies(n: int, target: int) -> int:
-    """Rounds that cyclic_repeat needs for a group of n."""
-    return math.ceil(target / n) if n else 0
-
-
 def rotating_round_robin(df: DataFrame, base: list[str], value: str, key: str) -> DataFrame:
     """Bases take turns; within a base its values take turns, begun one value later for each base in order.
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import hamming
+from ..functions.scalars import hamming, let
 
 
-def band_edges(distance: int) -> list[tuple[int, int]]:
-    """(offset, width) of distance + 1 bands, low bits first, the first ones a bit wider."""
-    n = distance + 1
+def band_edges(n: int) -> list[tuple[int, int]]:
+    """(offset, width) of n bands of 64 bits, low bits first, the first ones a bit wider."""
     out, at = [], 0
     for i in range(n):
         width = 64 // n + (i < 64 % n)
@@ -19,9 +20,17 @@ def band_edges(distance: int) -> list[tuple[int, int]]:
     return out
 
 
-def bands(value: Column, distance: int) -> Column:
-    """Array of structs (band, bits): two values within the distance agree on one at least."""
-    return F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1)).alias("bits")) for i, (at, width) in enumerate(band_edges(distance))])
+def bands(value: Column, distance: int, agree: int | None = None) -> Column:
+    """Array of structs (band, bits) of which two values within the distance share one at least.
+
+    Of distance + ``agree`` bands any two such values agree on ``agree``, so a key is the bits of so many
+    bands: more keys a value, each of which far fewer values share.  Three from a distance of three on.
+    """
+    agree = agree or (1 if distance < 3 else 3)
+    cut = F.array(*[F.shiftrightunsigned(value, at).bitwiseAND(F.lit((1 << width) - 1 if width < 64 else -1)) for at, width in band_edges(distance + agree)])
+    chosen = F.array(*[F.array(*map(F.lit, c)) for c in combinations(range(distance + agree), agree)])
+    key = lambda p: F.transform(chosen, lambda c, i: F.struct(i.alias("band"), F.xxhash64(F.transform(c, lambda j: F.get(p, j))).alias("bits")))
+    return let(cut, key)
 
 
 def hamming_join(df: DataFrame, key: str, value: str, distance: int) -> DataFrame:

@@ -119,7 +119,7 @@ def partition_precedence(spark, sf_dir):
 
 def latest_per_key(spark, sf_dir):
     """The latest event of each user, ties to the smaller id."""
-    return dedup.windowed_latest(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts"), "user_id", "ts", "event_id")
+    return joins.latest(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts"), ["user_id"], F.desc("ts"), "event_id")
 
 
 def protected_exclusion(spark, sf_dir):
@@ -129,43 +129,60 @@ def protected_exclusion(spark, sf_dir):
     return dedup.exclusion_reasons(d, "doc_id", {"cross_source": d.join(cross, "sha"), "short": d.where("n_chars < 100"), "labelled_bad": table(spark, sf_dir, "labels").where("quality = 0")})
 
 
+#: bits that a copy of a fingerprint differs in, the first so many of them
+_FLIPS = [63, 0, 17, 34, 51, 8, 25, 42]
+_MASKS = [sum(1 << b for b in _FLIPS[:n]) - ((1 << 64) if n else 0) for n in range(len(_FLIPS) + 1)]
+#: distance up to which fingerprints are near
+_NEAR = 7
+
+
 def _prints(spark, sf_dir):
-    """Signs of an embedding's first 20 components, at every third of 64 bits."""
-    e = table(spark, sf_dir, "embeddings").where("size(embedding) = 64")
-    bits = F.aggregate(F.slice("embedding", 1, 20), F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 3) + F.when(x > 0, 1).otherwise(0))
-    return e.select("vec_id", "label", bits.alias("v"))
+    """Fingerprints of 64 bits, the signs of an embedding's components (0 beyond its length), and two copies with up to 8 other bits under labels of their own."""
+    e = table(spark, sf_dir, "embeddings").where("embedding is not null")
+    bits = F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda a, i: a.bitwiseOR(F.when(F.get("embedding", i) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))))
+    masks = F.array(*[F.lit(m).cast("long") for m in _MASKS])
+    e = e.select("vec_id", "label", bits.alias("v"), F.posexplode(F.array(F.lit(0).cast("long"), F.col("vec_id") % 9, F.floor(F.col("vec_id") / 9) % 9)).alias("copy", "n"))
+    return e.select((F.col("vec_id") * 3 + F.col("copy")).alias("vec_id"), (F.col("label") + F.col("copy") % 2).alias("label"), F.col("v").bitwiseXOR(F.get(masks, F.col("n").cast("int"))).alias("v"))
 
 
 def hamming_join(spark, sf_dir):
-    """Vectors whose sign bits differ in at most two places."""
-    return similarity.hamming_join(_prints(spark, sf_dir), "vec_id", "v", 2)
+    """Fingerprints that differ in at most seven bits."""
+    return similarity.hamming_join(_prints(spark, sf_dir), "vec_id", "v", _NEAR)
 
 
 def near_members(spark, sf_dir):
-    """Vectors of odd labels near one of an even label."""
+    """Fingerprints of odd labels near one of an even label."""
     p = _prints(spark, sf_dir)
-    return similarity.near_members(p.where("label % 2 = 1"), p.where("label % 2 = 0"), "vec_id", "v", 2)
+    return similarity.near_members(p.where("label % 2 = 1"), p.where("label % 2 = 0"), "vec_id", "v", _NEAR)
 
 
 def near_dup_clusters(spark, sf_dir):
     """Components of the Hamming join, and whether they hold several labels (blocking)."""
     p = _prints(spark, sf_dir)
-    comp = graph.connected_components(similarity.hamming_join(p, "vec_id", "v", 2), "left", "right")
+    comp = graph.connected_components(similarity.hamming_join(p, "vec_id", "v", _NEAR), "left", "right")
     named = comp.join(p.select(F.col("vec_id").alias("node"), "label"), "node")
     return named.groupBy("component").agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels"), S.stable_id("cluster_", 12, F.array_join(F.sort_array(F.collect_list(F.col("node"))).cast("array<string>"), ",")).alias("cluster_id")).withColumn("blocking", F.col("labels") > 1)
 
 
 def component_winners(spark, sf_dir):
-    """One vector of each component of equal user and type events: the smallest id of a label."""
+    """One fingerprint of each component: the smallest label, then id."""
     p = _prints(spark, sf_dir)
-    comp = graph.connected_components(similarity.hamming_join(p, "vec_id", "v", 2), "left", "right")
+    comp = graph.connected_components(similarity.hamming_join(p, "vec_id", "v", _NEAR), "left", "right")
     return dedup.component_winners(p, comp, "vec_id", "label", "vec_id").select("component", "vec_id", "label")
 
 
-def greedy_pairs(spark, sf_dir):
-    """Edges of the Hamming join that a greedy pass takes, the nearest first."""
-    e = similarity.hamming_join(_prints(spark, sf_dir), "vec_id", "v", 2)
-    return dedup.greedy_matching(e, "left", "right", "distance", "left", "right")
+def near_dup_resolution(spark, sf_dir):
+    """Near fingerprints of two manifests resolved one by one, label conflicts first: who is dropped, for whom and why."""
+    p = _prints(spark, sf_dir).select("vec_id", "v", F.col("label").alias("material"), (F.col("vec_id") % 4 == 0).alias("pseudo"), (F.col("vec_id") % 5 == 0).cast("int").alias("validation"), (F.col("vec_id") % 2).alias("manifest"))
+    side = lambda s: p.drop("v").select(*[F.col(c).alias(c + s) for c in p.columns if c != "v"])
+    e = similarity.hamming_join(p, "vec_id", "v", _NEAR).join(side("_l"), F.col("left") == F.col("vec_id_l")).join(side("_r"), F.col("right") == F.col("vec_id_r"))
+    e = e.where("manifest_l <> manifest_r and (validation_l <> validation_r or material_l <> material_r)").withColumn("same", (F.col("material_l") == F.col("material_r")).cast("int"))
+    truth = (F.col("same") == 0) & (F.col("pseudo_l") != F.col("pseudo_r"))
+    role = F.col("validation_l") != F.col("validation_r")
+    reason = F.when(truth, "ground_truth_over_pseudo").when(role, "validation_partition_precedence").otherwise("stable_cross_partition_precedence")
+    first = F.when(truth, ~F.col("pseudo_l")).when(role, F.col("validation_l") == 1).when(F.col("pseudo_l") != F.col("pseudo_r"), ~F.col("pseudo_l")).otherwise(True)
+    e = e.select("left", "right", "same", "distance", reason.alias("reason"), F.when(first, F.col("left")).otherwise(F.col("right")).alias("winner"))
+    return dedup.greedy_resolution(e, "left", "right", "winner", "same", "distance", "left", "right").select("loser", "winner", "reason", "distance")
 
 
 def manifest_repeats(spark, sf_dir):
@@ -202,13 +219,15 @@ QUERIES = {
     f.__name__: f
     for f in (
         hash_top_k, class_capped, stratified_round_robin, priority_round_robin, stride_sample, stride_complement, second_pass_sample, hash_shard, cyclic_repeat, quota_selection, quota_shortages, hard_examples, retention_budget, exact_dedup,
-        content_duplicates, identity_conflicts, leakage_report, partition_precedence, latest_per_key, protected_exclusion, hamming_join, near_members, near_dup_clusters, component_winners, greedy_pairs, manifest_repeats, bag_containment, merge_upsert, set_operations,
+        content_duplicates, identity_conflicts, leakage_report, partition_precedence, latest_per_key, protected_exclusion, hamming_join, near_members, near_dup_clusters, component_winners, near_dup_resolution, manifest_repeats, bag_containment, merge_upsert, set_operations,
     )
 }
 
-_BITS = """prints AS (SELECT vec_id, label, list_sum([CASE WHEN embedding[i] > 0 THEN (1::BIGINT << (3 * (20 - i))) ELSE 0::BIGINT END FOR i IN range(1, 21)])::BIGINT AS v FROM embeddings WHERE len(embedding) = 64)"""
+_BITS = f"""signs AS (SELECT vec_id, label, list_sum([CASE WHEN embedding[i] > 0 THEN (1::HUGEINT << (i - 1)) ELSE 0::HUGEINT END FOR i IN range(1, 65)]) AS h FROM embeddings WHERE embedding IS NOT NULL),
+    copies AS (SELECT vec_id, label, (CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END)::BIGINT AS h, unnest([0, 1, 2]) AS c FROM signs),
+    prints AS (SELECT vec_id * 3 + c AS vec_id, label + c % 2 AS label, xor(h, list_extract({_MASKS}::BIGINT[], (CASE c WHEN 0 THEN 0 WHEN 1 THEN vec_id % 9 ELSE vec_id // 9 % 9 END)::INT + 1)) AS v FROM copies)"""
 _EDGES = f"""{_BITS},
-    edges AS (SELECT a.vec_id AS l, b.vec_id AS r, bit_count(xor(a.v, b.v))::INT AS d FROM prints a JOIN prints b ON a.vec_id < b.vec_id WHERE bit_count(xor(a.v, b.v)) <= 2)"""
+    edges AS (SELECT a.vec_id AS l, b.vec_id AS r, bit_count(xor(a.v, b.v))::INT AS d FROM prints a JOIN prints b ON a.vec_id < b.vec_id WHERE bit_count(xor(a.v, b.v)) <= {_NEAR})"""
 _COMP = f"""WITH RECURSIVE {_EDGES},
     both_ways AS (SELECT l AS a, r AS b FROM edges UNION SELECT r, l FROM edges),
     reach(node, seen) AS (SELECT a, a FROM both_ways UNION SELECT b, seen FROM reach JOIN both_ways ON node = a),
@@ -252,7 +271,7 @@ ORACLE_SQL = {
     "content_duplicates": f"""WITH {_DOCS}, g AS (SELECT sha, count(DISTINCT lang) AS s, count(DISTINCT source) AS t, min(doc_id) AS p FROM d GROUP BY sha)
         SELECT doc_id, CASE WHEN s > 1 THEN 'cross_split' WHEN t > 1 THEN 'conflicting_truth' WHEN doc_id > p THEN 'duplicate' ELSE 'kept' END AS fate FROM d JOIN g USING (sha)""",
     "identity_conflicts": f"WITH {_DOCS} SELECT sha, count(DISTINCT source) AS variants, count(*) AS n FROM d GROUP BY sha HAVING variants > 1",
-    "leakage_report": f"""WITH {_DOCS}, r AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'validation' ELSE 'train' END AS role FROM d WHERE n_chars > 2000),
+    "leakage_report": f"""WITH {_DOCS}, r AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'validation' ELSE 'train' END AS role FROM d),
         c AS (SELECT role, 'sha' AS field, sha AS value FROM r UNION ALL SELECT role, 'n_chars', n_chars::VARCHAR FROM r)
         SELECT field, value, string_agg(DISTINCT role, ',' ORDER BY role) AS roles, count(*) AS n FROM c GROUP BY field, value HAVING count(DISTINCT role) > 1""",
     "partition_precedence": f"""WITH {_DOCS}, a AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN 'validation' ELSE 'train' END AS part, CASE WHEN n_chars > 3000 THEN n_chars END AS size FROM d),
@@ -264,13 +283,22 @@ ORACLE_SQL = {
         UNION SELECT doc_id, 'short' FROM d WHERE n_chars < 100 UNION SELECT doc_id, 'labelled_bad' FROM labels WHERE quality = 0 AND doc_id IN (SELECT doc_id FROM d))
         SELECT doc_id, string_agg(reason, ',' ORDER BY reason) AS reasons, count(*) AS n FROM r GROUP BY doc_id""",
     "hamming_join": f'WITH {_EDGES} SELECT l AS "left", r AS "right", d AS distance FROM edges',
-    "near_members": f"""WITH {_BITS}, n AS (SELECT a.vec_id, b.vec_id AS m, bit_count(xor(a.v, b.v))::INT AS d FROM prints a JOIN prints b ON a.label % 2 = 1 AND b.label % 2 = 0 WHERE bit_count(xor(a.v, b.v)) <= 2),
+    "near_members": f"""WITH {_BITS}, n AS (SELECT a.vec_id, b.vec_id AS m, bit_count(xor(a.v, b.v))::INT AS d FROM prints a JOIN prints b ON a.label % 2 = 1 AND b.label % 2 = 0 WHERE bit_count(xor(a.v, b.v)) <= {_NEAR}),
         k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, m) AS rn FROM n)
         SELECT vec_id, min(d) AS nearest, count(*) AS matches, string_agg(m::VARCHAR, ',' ORDER BY rn) FILTER (WHERE rn <= 8) AS listed FROM k GROUP BY vec_id""",
     "near_dup_clusters": f"""{_COMP} SELECT component, count(*) AS n, count(DISTINCT label) AS labels, 'cluster_' || substr(sha256(string_agg(node::VARCHAR, ',' ORDER BY node)), 1, 12) AS cluster_id, count(DISTINCT label) > 1 AS blocking
-        FROM comp JOIN embeddings ON vec_id = node GROUP BY component""",
+        FROM comp JOIN prints ON vec_id = node GROUP BY component""",
     "component_winners": f"""{_COMP} SELECT coalesce(component, vec_id) AS component, vec_id, label FROM prints LEFT JOIN comp ON node = vec_id
         QUALIFY row_number() OVER (PARTITION BY coalesce(component, vec_id) ORDER BY label, vec_id) = 1""",
+    "near_dup_resolution": f"""WITH RECURSIVE {_EDGES}, p AS (SELECT vec_id AS id, label AS material, vec_id % 4 = 0 AS pseudo, vec_id % 5 = 0 AS val, vec_id % 2 AS manifest FROM prints),
+        f AS (SELECT l, r, d, a.material = b.material AS same, a.material <> b.material AND a.pseudo <> b.pseudo AS truth, a.val <> b.val AS role, a.pseudo AS pa, b.pseudo AS pb, a.val AS va FROM edges JOIN p a ON a.id = l JOIN p b ON b.id = r
+            WHERE a.manifest <> b.manifest AND (a.val <> b.val OR a.material <> b.material)),
+        g AS (SELECT *, CASE WHEN truth THEN 'ground_truth_over_pseudo' WHEN role THEN 'validation_partition_precedence' ELSE 'stable_cross_partition_precedence' END AS reason,
+            CASE WHEN truth THEN NOT pa WHEN role THEN va WHEN pa <> pb THEN NOT pa ELSE true END AS first, row_number() OVER (ORDER BY same, d, l, r) AS i FROM f),
+        e AS (SELECT i, l, r, d, reason, CASE WHEN first THEN l ELSE r END AS winner, CASE WHEN first THEN r ELSE l END AS loser FROM g),
+        walk(i, gone, loser, winner, reason, distance, hit) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT, NULL::BIGINT, NULL::VARCHAR, NULL::INT, false
+            UNION ALL SELECT e.i, CASE WHEN list_contains(gone, e.l) OR list_contains(gone, e.r) THEN gone ELSE list_append(gone, e.loser) END, e.loser, e.winner, e.reason, e.d, NOT (list_contains(gone, e.l) OR list_contains(gone, e.r)) FROM walk JOIN e ON e.i = walk.i + 1)
+        SELECT loser, winner, reason, distance FROM walk WHERE hit""",
     "manifest_repeats": """SELECT lang, copy, count(*) AS n, sum(doc_id)::BIGINT AS ids FROM (SELECT doc_id, lang, 1 AS copy FROM documents WHERE lang = 'de' UNION ALL SELECT doc_id, lang, unnest([1, 2, 3]) FROM documents WHERE lang = 'fr') WHERE doc_id % 5 <> 0 GROUP BY lang, copy""",
     "bag_containment": """WITH a AS (SELECT l_partkey, l_suppkey, count(*) AS n_returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL), b AS (SELECT l_partkey, l_suppkey, count(*) AS n_other FROM lineitem WHERE l_returnflag <> 'R' GROUP BY ALL)
         SELECT l_partkey, l_suppkey, n_returned, coalesce(n_other, 0) AS n_other FROM a LEFT JOIN b USING (l_partkey, l_suppkey) WHERE n_returned > coalesce(n_other, 0)""",

@@ -41,7 +41,7 @@ def guidance_policy(spark, sf_dir):
 
 
 def props_parse(spark, sf_dir):
-    """Events by page and browser fields of their JSON, malformed ones counted apart."""
+    """Events by type and by whether their JSON can be read."""
     e = table(spark, sf_dir, "events")
     return e.groupBy("event_type", F.coalesce(F.try_parse_json("props").isNotNull(), F.lit(False)).alias("valid")).agg(F.count("*").alias("n"))
 
@@ -215,8 +215,9 @@ def audit_status(spark, sf_dir):
 
 def softmax_top1(spark, sf_dir):
     """Class of greatest probability, its runner-up and their gap, vectors as logits."""
-    e = table(spark, sf_dir, "embeddings").withColumn("p", S.softmax(F.col("embedding").cast("array<double>"))).withColumn("r", S.ranked(F.col("p")))
-    return e.select("vec_id", F.get("r", F.lit(0))["index"].alias("top"), F.get("r", F.lit(1))["index"].alias("second"), F.round(F.get("r", F.lit(0))["value"] - F.get("r", F.lit(1))["value"], 9).alias("gap"))
+    two = lambda r: F.struct(F.get(r, F.lit(0)).alias("a"), F.get(r, F.lit(1)).alias("b"))
+    e = table(spark, sf_dir, "embeddings").select("vec_id", S.let(S.softmax(F.col("embedding").cast("array<double>")), lambda p: S.let(S.ranked(p), two)).alias("r"))
+    return e.select("vec_id", F.col("r.a.index").alias("top"), F.col("r.b.index").alias("second"), F.round(F.col("r.a.value") - F.col("r.b.value"), 9).alias("gap"))
 
 
 def bbox_iou_match(spark, sf_dir):
@@ -342,8 +343,12 @@ ORACLE_SQL = {
     "softmax_top1": """WITH x AS (SELECT vec_id, i - 1 AS idx, embedding[i]::DOUBLE AS v FROM embeddings, LATERAL (SELECT unnest(range(1, len(embedding) + 1)) AS i)), p AS (SELECT *, exp(v - max(v) OVER w) AS e FROM x WINDOW w AS (PARTITION BY vec_id)),
         q AS (SELECT vec_id, idx, e / sum(e) OVER (PARTITION BY vec_id) AS p, row_number() OVER (PARTITION BY vec_id ORDER BY v DESC, idx) AS r FROM p)
         SELECT vec_id, max(idx) FILTER (WHERE r = 1)::INT AS top, max(idx) FILTER (WHERE r = 2)::INT AS second, round(max(p) FILTER (WHERE r = 1) - max(p) FILTER (WHERE r = 2), 9) AS gap FROM q GROUP BY vec_id""",
-    "bbox_iou_match": """WITH b AS (SELECT l_orderkey, l_linenumber AS n, l_quantity AS x, l_discount * 100 AS y FROM lineitem WHERE l_orderkey % 10 = 0),
+    "bbox_iou_match": """WITH b AS (SELECT l_orderkey, l_linenumber AS n, l_quantity AS x, l_discount * 100 AS y FROM lineitem),
         j AS (SELECT greatest(0, least(a.x, c.x) + 20 - greatest(a.x, c.x)) * greatest(0, least(a.y + 10, c.y + 10) - greatest(a.y, c.y)) AS i, (a.x + 20 - a.x) * (a.y + 10 - a.y) + (c.x + 20 - c.x) * (c.y + 10 - c.y) AS u FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.n < c.n)
         SELECT CASE WHEN i / (u - i) >= 0.5 THEN 'truth' WHEN i / (u - i) <= 0.1 THEN 'background' ELSE 'ambiguous' END AS assigned, count(*) AS n FROM j GROUP BY 1""",
+    "lineage_digest": """WITH h AS (SELECT sha256(o_orderkey::VARCHAR || '|' || o_totalprice::VARCHAR) AS g FROM orders), a AS (SELECT g, g || ':' || count(*) AS d, count(*) AS n FROM h GROUP BY g),
+        b AS (SELECT substr(g, 1, 6) AS g, sha256(string_agg(d, ',' ORDER BY g)) AS d, sum(n) AS n FROM a GROUP BY 1), c AS (SELECT substr(g, 1, 4) AS g, sha256(string_agg(d, ',' ORDER BY g)) AS d, sum(n) AS n FROM b GROUP BY 1),
+        e AS (SELECT substr(g, 1, 2) AS g, sha256(string_agg(d, ',' ORDER BY g)) AS d, sum(n) AS n FROM c GROUP BY 1)
+        SELECT sum(n)::BIGINT AS n, sha256(string_agg(d, ',' ORDER BY g)) AS digest FROM e""",
     "runtime_top1": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) = 1",
 }

@@ -61,9 +61,16 @@ def conflict_recheck(spark, sf_dir):
     return d.withColumn("recheck", P.conflict_recheck(F.col("first"), F.col("confidence"), F.col("second"))).where("recheck").groupBy("first", "second").agg(F.count("*").alias("n"))
 
 
+def _views(spark, sf_dir):
+    """Line items as two providers' boxes of an order: a place of the order's own, moved by up to eight pixels."""
+    x1, y1 = F.col("l_orderkey") % 40 + F.col("l_quantity") % 8, F.col("l_orderkey") % 20 + F.round(F.col("l_discount") * 100)
+    one = joins.latest(table(spark, sf_dir, "lineitem").where("l_linenumber <= 2"), ["l_orderkey", "l_linenumber"], "l_partkey", "l_suppkey", "l_extendedprice")
+    return one.select("l_orderkey", "l_linenumber", x1.alias("x1"), y1.alias("y1"), (x1 + 40).alias("x2"), (y1 + 30).alias("y2"))
+
+
 def provider_consensus(spark, sf_dir):
     """Boxes of two providers for one teacher row, accepted with a mean box from an overlap of three quarters."""
-    b = _boxes(spark, sf_dir)
+    b = _views(spark, sf_dir)
     one = lambda n, s: b.where(F.col("l_linenumber") == n).select("l_orderkey", *[F.col(c).alias(c + s) for c in ("x1", "y1", "x2", "y2")])
     t = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
     j = t.join(one(1, "a"), "l_orderkey", "left").join(one(2, "b"), "l_orderkey", "left")
@@ -72,11 +79,19 @@ def provider_consensus(spark, sf_dir):
     return j.groupBy(status.alias("status")).agg(F.count("*").alias("n"), F.round(F.sum(F.when(over >= 0.75, (F.col("x1a") + F.col("x1b")) / 2)), 3).alias("x1_sum"))
 
 
+def _candidates(spark, sf_dir):
+    """Line items as detections of an order: first ones weak, boxes near the order's place, vinyl for every other part."""
+    l = table(spark, sf_dir, "lineitem")
+    x1, y1 = F.col("l_orderkey") % 40 + F.col("l_quantity") % 8, F.col("l_orderkey") % 20 + F.round(F.col("l_discount") * 100)
+    cls = F.when(F.col("l_linenumber") == 1, F.get(F.array(*[F.lit(c) for c in ("pet", "plastic", "can")]), (F.col("l_partkey") % 3).cast("int"))).otherwise(F.when(F.col("l_partkey") % 2 == 0, "vinyl").otherwise("paper"))
+    return l.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", x1.alias("x1"), y1.alias("y1"), (x1 + 40).alias("x2"), (y1 + 30).alias("y2"), cls.alias("cls"), F.round(F.col("l_tax") * 10 + F.when(F.col("l_linenumber") == 1, 0.1).otherwise(0.02), 4).alias("confidence"))
+
+
 def same_box_candidate(spark, sf_dir):
-    """The surest other box of an order that overlaps a weak first one: its number, ties to the lower."""
-    b = _boxes(spark, sf_dir)
-    one = b.where("l_linenumber = 1 and confidence < 0.8").select("l_orderkey", *[F.col(c).alias(c + "a") for c in ("x1", "y1", "x2", "y2")], F.col("confidence").alias("ca"))
-    j = one.join(b.where("l_linenumber > 1"), "l_orderkey").where((F.col("confidence") >= F.col("ca") * 0.9) & (S.iou(_box("a"), _box()) >= 0.7))
+    """The surest vinyl box on the same object as a weak first pet or plastic one: its number, ties to the lower."""
+    b = _candidates(spark, sf_dir)
+    one = b.where("l_linenumber = 1").select("l_orderkey", *[F.col(c).alias(c + "a") for c in ("x1", "y1", "x2", "y2", "cls")], F.col("confidence").alias("ca"))
+    j = one.join(b.where("l_linenumber > 1"), "l_orderkey").where(P.vinyl_candidate(F.col("clsa"), F.col("ca"), F.col("cls"), F.col("confidence"), S.iou(_box("a"), _box())))
     return joins.latest(j, ["l_orderkey"], F.desc("confidence"), "l_linenumber").select("l_orderkey", "l_linenumber", "confidence")
 
 
@@ -89,7 +104,7 @@ def rotating_queue(spark, sf_dir):
 def partition_proof(spark, sf_dir):
     """Whether late and early orders partition all orders: rows missing and unexpected, by bags."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    both = o.where("o_orderkey % 3 = 0").unionByName(o.where("o_orderkey % 3 = 1"))
+    both = o.where("o_orderkey % 3 = 0").unionByName(o.where("o_orderkey % 3 = 1")).unionByName(o.where("o_orderkey % 21 = 0"))  # early ones twice
     rows = o.exceptAll(both).withColumn("kind", F.lit("missing")).unionByName(both.exceptAll(o).withColumn("kind", F.lit("unexpected")))
     return rows.groupBy("kind").agg(F.count("*").alias("n"))
 
@@ -115,7 +130,7 @@ ORACLE_SQL = {
     "box_quality": f"""WITH {_BOXES}, q AS (SELECT greatest(0, x2 - x1) * greatest(0, y2 - y1) / 6000 AS ratio, (x1 <= 1.0)::INT + (y1 <= 60.0::DOUBLE * 0.01)::INT + (x2 >= 99.0)::INT + (y2 >= 60.0::DOUBLE * 0.99)::INT AS touches FROM b)
         SELECT touches, ratio >= 0.5 OR touches >= 2 AS suspicious, count(*) AS n FROM q GROUP BY ALL""",
     "platform_roi": f"""WITH {_BOXES}, a AS (SELECT *, (x1 + x2) / 2 / 100.0::DOUBLE AS ax, (y1 + (y2 - y1) * 0.85::DOUBLE) / 60.0::DOUBLE AS ay FROM b)
-        SELECT coalesce(x2 > x1 AND y2 > y1 AND abs(ax - 0.5) <= 0.25::DOUBLE * 1.6::DOUBLE AND pow((ax - 0.5) / 0.5, 2) + pow((ay - 0.6::DOUBLE) / (0.25::DOUBLE * 1.5), 2) <= 1.0, false) AS on_platform, count(*) AS n FROM a GROUP BY 1""",
+        SELECT coalesce(x2 > x1 AND y2 > y1 AND abs(ax - 0.447::DOUBLE) <= 0.175::DOUBLE * 1.5 AND pow((ax - 0.447::DOUBLE) / (0.175::DOUBLE * 2.0), 2) + pow((ay - 0.590::DOUBLE) / (0.160::DOUBLE * 2.5), 2) <= 1.0, false) AS on_platform, count(*) AS n FROM a GROUP BY 1""",
     "reason_priority": """WITH r AS (SELECT l_partkey % 3 = 0 AS dark, l_suppkey % 4 = 0 AS small, l_orderkey % 5 = 0 AS blurred, l_linenumber = 7 AS corrupt, l_linenumber = 6 AS odd FROM lineitem)
         SELECT CASE WHEN corrupt OR odd THEN NULL WHEN small THEN 'too_small' WHEN dark THEN 'under_exposed' WHEN blurred THEN 'out_of_focus' END AS reason, count(*) AS n FROM r GROUP BY 1""",
     "head_labels": """WITH a AS (SELECT *, l_tax < 0.06 AND l_linenumber < 6 AS ok FROM lineitem)
@@ -128,15 +143,19 @@ ORACLE_SQL = {
             WHEN least(first, second) || '/' || greatest(first, second) IN ('can/plastic','paper/plastic','plastic/styrofoam','paper/vinyl','glass/pet','glass/plastic','fluorescent/glass','fluorescent/plastic') THEN true
             WHEN first IN ('glass','battery','fluorescent','styrofoam') THEN second NOT IN ('glass','battery','fluorescent','styrofoam') ELSE false END AS recheck FROM d)
         SELECT first, second, count(*) AS n FROM r WHERE recheck GROUP BY ALL""",
-    "provider_consensus": f"""WITH {_BOXES}, j AS (SELECT a.x1 AS ax, c.x1 AS cx, CASE WHEN a.x1 IS NOT NULL AND c.x1 IS NOT NULL THEN {_iou('a', 'c')} END AS o FROM orders LEFT JOIN b a ON a.l_orderkey = o_orderkey AND a.l_linenumber = 1 LEFT JOIN b c ON c.l_orderkey = o_orderkey AND c.l_linenumber = 2)
-        SELECT CASE WHEN ax IS NULL OR cx IS NULL THEN 'missing' WHEN o >= 0.25 THEN 'accepted' ELSE 'apart' END AS status, count(*) AS n, round(sum(CASE WHEN o >= 0.25 THEN (ax + cx) / 2 END), 3) AS x1_sum FROM j GROUP BY 1""",
-    "same_box_candidate": f"""WITH {_BOXES} SELECT a.l_orderkey, c.l_linenumber, c.confidence FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.l_linenumber = 1 AND c.l_linenumber > 1
-        WHERE a.confidence < 0.8 AND c.confidence >= a.confidence * 0.9 AND {_iou('a', 'c')} >= 0.3 QUALIFY row_number() OVER (PARTITION BY a.l_orderkey ORDER BY c.confidence DESC, c.l_linenumber) = 1""",
+    "provider_consensus": f"""WITH u AS (SELECT * FROM lineitem WHERE l_linenumber <= 2 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1),
+        v AS (SELECT l_orderkey, l_linenumber, l_orderkey % 40 + l_quantity % 8 AS x1, l_orderkey % 20 + round(l_discount * 100) AS y1 FROM u), b AS (SELECT *, x1 + 40 AS x2, y1 + 30 AS y2 FROM v),
+        j AS (SELECT a.x1 AS ax, c.x1 AS cx, CASE WHEN a.x1 IS NOT NULL AND c.x1 IS NOT NULL THEN {_iou('a', 'c')} END AS o FROM orders LEFT JOIN b a ON a.l_orderkey = o_orderkey AND a.l_linenumber = 1 LEFT JOIN b c ON c.l_orderkey = o_orderkey AND c.l_linenumber = 2)
+        SELECT CASE WHEN ax IS NULL OR cx IS NULL THEN 'missing' WHEN o >= 0.75 THEN 'accepted' ELSE 'apart' END AS status, count(*) AS n, round(sum(CASE WHEN o >= 0.75 THEN (ax + cx) / 2 END), 3) AS x1_sum FROM j GROUP BY 1""",
+    "same_box_candidate": f"""WITH v AS (SELECT l_orderkey, l_linenumber, l_orderkey % 40 + l_quantity % 8 AS x1, l_orderkey % 20 + round(l_discount * 100) AS y1, round(l_tax * 10 + CASE WHEN l_linenumber = 1 THEN 0.1::DOUBLE ELSE 0.02::DOUBLE END, 4) AS confidence,
+            CASE WHEN l_linenumber = 1 THEN list_extract(['pet', 'plastic', 'can'], (l_partkey % 3)::INT + 1) WHEN l_partkey % 2 = 0 THEN 'vinyl' ELSE 'paper' END AS cls FROM lineitem), b AS (SELECT *, x1 + 40 AS x2, y1 + 30 AS y2 FROM v)
+        SELECT a.l_orderkey, c.l_linenumber, c.confidence FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.l_linenumber = 1 AND c.l_linenumber > 1
+        WHERE a.cls IN ('pet', 'plastic') AND a.confidence < 0.55 AND c.cls = 'vinyl' AND c.confidence >= 0.10 AND c.confidence >= a.confidence * 0.40::DOUBLE AND {_iou('a', 'c')} >= 0.70 QUALIFY row_number() OVER (PARTITION BY a.l_orderkey ORDER BY c.confidence DESC, c.l_linenumber) = 1""",
     "rotating_queue": """WITH p AS (SELECT p_partkey, p_brand, substr(p_type, 1, 3) AS kind FROM part), i AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS i FROM (SELECT DISTINCT p_brand FROM p)),
         j AS (SELECT p_brand, kind, row_number() OVER (PARTITION BY p_brand ORDER BY kind) - 1 AS j, count(*) OVER (PARTITION BY p_brand) AS k FROM (SELECT DISTINCT p_brand, kind FROM p)),
         r AS (SELECT p_partkey, p.p_brand, (j - i % k + k) % k AS turn_at, row_number() OVER (PARTITION BY p.p_brand, p.kind ORDER BY p_partkey) AS r FROM p JOIN i USING (p_brand) JOIN j ON j.p_brand = p.p_brand AND j.kind = p.kind),
         t AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY r, turn_at) AS turn FROM r)
         SELECT p_partkey, row_number() OVER (ORDER BY turn, p_brand) - 1 AS position FROM t""",
-    "partition_proof": "SELECT 'missing' AS kind, count(*) AS n FROM orders WHERE o_orderkey % 3 = 2 HAVING count(*) > 0",
+    "partition_proof": "SELECT CASE WHEN o_orderkey % 3 = 2 THEN 'missing' ELSE 'unexpected' END AS kind, count(*) AS n FROM orders WHERE o_orderkey % 3 = 2 OR o_orderkey % 21 = 0 GROUP BY 1",
     "reuse_audit": "SELECT sha256(text) AS sha, count(*) AS n, count(DISTINCT source) AS sources, min(doc_id) AS first FROM documents GROUP BY 1 HAVING count(*) > 1",
 }

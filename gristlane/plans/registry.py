@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import curation, evaluation, labelling, monitor
+from . import captures, curation, evaluation, labelling, monitor, provenance
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (monitor, curation, evaluation, labelling):
+for _module in (monitor, curation, evaluation, labelling, captures, provenance):
     QUERIES.update(_module.QUERIES)
     ORACLE_SQL.update(_module.ORACLE_SQL)

@@ -57,24 +57,32 @@ def pinned(spark: SparkSession, root: str, digests: DataFrame) -> DataFrame:
     return got.join(digests, "name", "left").select("path", F.col("found").alias("sha256"), F.coalesce(F.col("found") == F.col("sha256"), F.lit(False)).alias("matches"))
 
 
-def label_line(text: Column) -> tuple[Column, Column]:
-    """(class and centred box as a struct, reason) of a label file: one object as ``class x y w h``; the other is null."""
-    lines = F.filter(F.split(F.trim(text), r"\r?\n"), lambda x: F.trim(x) != "")
-    parts = F.split(F.trim(F.get(lines, F.lit(0))), r"\s+")
-    number = [F.expr("try_cast(null as double)")] + [F.get(parts, F.lit(i)).try_cast("double") for i in range(1, 5)]
-    cls = F.get(parts, F.lit(0)).try_cast("int")
-    x, y, w, h = number[1:]
+# Reasons against a label line, and how far a box may reach beyond the image.
+LABEL_REASONS = ["not_single_object", "invalid_column_count", "non_numeric_label", "invalid_class_id", "non_finite_bbox", "invalid_bbox", "bbox_outside_image"]
+BEYOND = 0.01
+
+
+def label_line(text: Column, classes: int = 9) -> tuple[Column, Column]:
+    """(class and centred box as a struct, reason) of a label file: one object as ``class x y w h``, the class a whole number however written; the other is null.
+
+    A file without a line is an empty scene: neither has a value.  A null text is one too.
+    """
+    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\r\n|\r|\n"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != "")
+    parts = F.split(F.get(lines, F.lit(0)), r"\s+")
+    raw, x, y, w, h = (F.get(parts, F.lit(i)).try_cast("double") for i in range(5))
+    odd = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
+    several, columns, number, cls, finite, box, outside = LABEL_REASONS
     reason = (
-        F.when(text.isNull(), "missing_label")
-        .when(F.size(lines) > 1, "multiple_objects")
-        .when(F.size(lines) == 0, F.lit(None))
-        .when(F.size(parts) != 5, "malformed_line")
-        .when(cls.isNull() | x.isNull() | y.isNull() | w.isNull() | h.isNull(), "not_a_number")
-        .when((cls < 0) | (cls > 8), "unknown_class")
-        .when((w <= 0) | (h <= 0), "empty_box")
-        .when((x < 0) | (x > 1) | (y < 0) | (y > 1) | (w > 1) | (h > 1), "out_of_range")
+        F.when(F.size(lines) == 0, F.lit(None))
+        .when(F.size(lines) != 1, several)
+        .when(F.size(parts) != 5, columns)
+        .when(raw.isNull() | x.isNull() | y.isNull() | w.isNull() | h.isNull(), number)
+        .when(odd(raw) | (raw != F.floor(raw)) | (raw < 0) | (raw >= classes), cls)
+        .when(odd(x) | odd(y) | odd(w) | odd(h), finite)
+        .when(~(x.between(0, 1) & y.between(0, 1) & (w > 0) & (w <= 1) & (h > 0) & (h <= 1)), box)
+        .when((x - w / 2 < -BEYOND) | (x + w / 2 > 1 + BEYOND) | (y - h / 2 < -BEYOND) | (y + h / 2 > 1 + BEYOND), outside)
     )
-    value = F.when(reason.isNull() & (F.size(lines) == 1), F.struct(cls.alias("class_id"), x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h")))
+    value = F.when(reason.isNull() & (F.size(lines) == 1), F.struct(raw.cast("int").alias("class_id"), x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h")))
     return value, reason
 
 

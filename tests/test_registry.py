@@ -46,20 +46,6 @@ def test_against_sql(spark, duck, name):
     assert rows(got, columns) == rows(want, columns)
 
 
-def test_greedy_pairs(spark):
-    """The rounds give what the sequence gives."""
-    from gristlane.plans import curation
-
-    edges = [tuple(r) for r in spark.createDataFrame([(i % 7, 10 + i % 5, i * 37 % 11) for i in range(40)], "left long, right long, distance int").distinct().collect()]
-    got = {tuple(r) for r in __import__("gristlane.operators.dedup", fromlist=["x"]).greedy_matching(spark.createDataFrame(edges, "left long, right long, distance int"), "left", "right", "distance", "left", "right").collect()}
-    used, want = set(), set()
-    for a, b, d in sorted(edges, key=lambda e: (e[2], e[0], e[1])):
-        if not {a, b} & used:
-            used |= {a, b}
-            want.add((a, b, d))
-    assert got == want and "greedy_pairs" in curation.QUERIES
-
-
 def test_entry_without_llm():
     """The entry module and all other queries do without the subpackage and the pipeline."""
     code = "import sys; sys.modules['gristlane.llm'] = None; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; q = e.queries(); assert 'monitor_summary' in q and 'pipeline' not in q and not any(k.startswith('op1_') for k in q); e.oracle_sql()"
