@@ -238,10 +238,14 @@ def shard(text: Column, n: int) -> Column:
     return (F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("long") % n).cast("int")
 
 
-def in_hours(ts: Column, zone: str, first: int, end: int) -> Column:
-    """first <= hour < end in a time zone; ts is UTC."""
+#: Fixed value: no hour from this one on, whatever the configured end.
+LAST_HOUR = 17
+
+
+def in_hours(ts: Column, zone: str, first: int, end: int, most: int = LAST_HOUR) -> Column:
+    """first <= hour < the smaller of end and ``most`` in a time zone; ts is UTC."""
     h = F.hour(F.from_utc_timestamp(ts, zone))
-    return (h >= first) & (h < end)
+    return (h >= first) & (h < min(end, most))
 
 
 def hamming(a: Column, b: Column) -> Column:

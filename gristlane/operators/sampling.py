@@ -124,8 +124,12 @@ def shortages(chosen: DataFrame, by: str, n: int) -> DataFrame:
     return chosen.groupBy(by).agg(F.count("*").alias("got")).withColumn("missing", F.greatest(F.lit(0), F.lit(n) - F.col("got")))
 
 
-def oldest_first_budget(df: DataFrame, ts: str, size: str, key: str, budget: int) -> DataFrame:
-    """The newest rows whose sizes sum to no more than the budget, by a running sum over ranges of time."""
+def oldest_first_budget(df: DataFrame, ts: str, size: str, key: str, budget: int, since=None) -> DataFrame:
+    """The newest rows whose sizes sum to no more than the budget, by a running sum over ranges of time.
+
+    Rows before ``since`` (a value or column) go first and do not count.
+    """
+    df = df if since is None else df.where(F.col(ts) >= since)
     d = _ranges(df, F.col(ts).desc(), F.col(key))
     sums = d.groupBy("_run").agg(F.sum(size).alias("_n"))
     before = sums.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_run").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_run", "_before")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import os
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +51,24 @@ def shared_dir(spark: SparkSession) -> str:
     return got.rstrip("/")
 
 
+_scratch: ContextVar[str] = ContextVar("_scratch", default="")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/gristlane/{spark.sparkContext.applicationId}/{next(_seq)}-{uuid.uuid4().hex[:8]}-{name}"
+    return f"{shared_dir(spark)}/gristlane/{spark.sparkContext.applicationId}/{_scratch.get()}{next(_seq)}-{uuid.uuid4().hex[:8]}-{name}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables that are written within are deleted at the end; what is to stay is written to a path taken before."""
+    folder = f"{next(_seq)}-{uuid.uuid4().hex[:8]}-scratch/"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        discard(spark, f"{shared_dir(spark)}/gristlane/{spark.sparkContext.applicationId}/{folder}")
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -33,6 +33,16 @@ def json_lines(spark: SparkSession, path, schema: T.StructType, ts: str | None =
     return d.where(zoned).withColumn(ts, F.try_to_timestamp(F.col(ts))).where(F.col(ts).isNotNull())
 
 
+def strict_lines(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+    """JSON lines that must all be objects without a repeated key; the first bad line is an error that shows it."""
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    keys = F.json_object_keys("value")
+    bad = lines.where(keys.isNull() | (F.size(keys) != F.size(F.array_distinct(keys)))).first()
+    if bad is not None:
+        raise ValueError(f"not an object, or a key twice: {bad['value'][:200]}")
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("x")).select("x.*")
+
+
 def manifests(spark: SparkSession, paths: dict[str, int], training_only: bool = False) -> DataFrame:
     """CSV manifests as strings, the rows of each file repeated so many times (``copy`` from 1), missing columns null."""
     out = None

@@ -217,3 +217,60 @@ def test_leakage_and_lineage_whole(spark):
     assert sorted(got) == sorted(want)
     print("leaks", len(got), "of texts over 2000", sum(f == "n_chars" and int(v) > 2000 for f, v in got))
     assert evaluation.lineage_digest(spark, sf).first().n == spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
+def test_fingerprints(spark):
+    """Hashes against sums written out, and reasons at their bounds."""
+    import math
+
+    import numpy as np
+
+    from gristlane.functions import fingerprints as X
+
+    rng = np.random.default_rng(5)
+    image = rng.integers(0, 256, (40, 50))
+    small = np.zeros((32, 32))
+    for i in range(32):
+        for j in range(32):
+            area = 0.0
+            for y in range(40):
+                for x in range(50):
+                    dy = min((i + 1) * 40 / 32, y + 1) - max(i * 40 / 32, y)
+                    dx = min((j + 1) * 50 / 32, x + 1) - max(j * 50 / 32, x)
+                    if dx > 0 and dy > 0:
+                        small[i, j] += image[y, x] * dx * dy
+                        area += dx * dy
+            small[i, j] /= area
+    assert np.allclose(small, X.shrink(image.astype(float), 32, 32))
+    low = [sum(small[i, j] * math.cos(math.pi * (2 * i + 1) * u / 64) * math.cos(math.pi * (2 * j + 1) * v / 64) for i in range(32) for j in range(32)) * (1 if u else 0.5**0.5) * (1 if v else 0.5**0.5) for u in range(8) for v in range(8)]
+    median = sorted(low[1:])[31]
+    want = 0
+    for k, c in enumerate(low):
+        want = want << 1 | (k > 0 and c > median)
+    rows = [(0, image.ravel().tolist(), 50, 40), (1, [0] * 19200, 160, 120), (2, [255] * 19199 + [9], 160, 120), (3, None, 1, 1), (4, [1, 2], 3, 1), (5, list(range(8)) * 9, 9, 8)]
+    d = spark.createDataFrame(rows, "i int, p array<int>, w int, h int")
+    got = {r.i: r for r in d.select("i", X.phash(F.col("p"), F.col("w"), F.col("h")).alias("v"), X.dhash(F.col("p"), F.col("w"), F.col("h")).alias("d"), X.signature(F.col("p"), F.col("w"), F.col("h")).alias("s"), X.frame_reasons(F.col("p"), F.col("w"), F.col("h")).alias("r")).collect()}
+    assert got[0].v % 2**64 == want and got[0].v in got[0].s and len(got[0].s) == 4 and got[3].v is None and got[4].d is None
+    grid = [[rows[5][1][y * 9 + x] for x in range(9)] for y in range(8)]
+    assert f"{got[5].d % 2**64:064b}" == "".join(str(int(r[x + 1] > r[x])) for r in grid for x in range(8))
+    assert [got[i].r for i in (0, 1, 2, 3, 4)] == [["image_resolution_below_minimum"], ["image_extreme_underexposure"], ["image_extreme_overexposure"], ["image_unreadable"], ["image_unreadable"]]
+
+
+def test_strict_lines(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    (tmp_path / "good.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
+    assert sorted(r.a for r in readers.strict_lines(spark, str(tmp_path / "good.jsonl"), schema).collect()) == [1, 2]
+    for n, line in enumerate(('{"a": 1, "a": 2}', "[1]", "{broken")):
+        (tmp_path / f"bad{n}.jsonl").write_text('{"a": 1}\n' + line + "\n")
+        with pytest.raises(ValueError):
+            readers.strict_lines(spark, str(tmp_path / f"bad{n}.jsonl"), schema)
+
+
+def test_hours_and_age(spark):
+    at = lambda h: F.to_timestamp(F.lit(f"2026-01-01 {h:02d}:30:00"))
+    r = one(spark, **{f"h{h}": S.in_hours(at(h), "Asia/Seoul", 8, 19) for h in (22, 23, 7, 8)})
+    assert tuple(r) == (False, True, True, False)
+    df = spark.range(10).select(F.col("id").alias("k"), F.lit(10).alias("size"))
+    assert sorted(x.k for x in sampling.oldest_first_budget(df, "k", "size", "k", 1000, since=7).collect()) == [7, 8, 9]
