@@ -120,10 +120,10 @@ def parse_box(text: Column, width: Column, height: Column, least: float, most: f
             F.when(v["kind"] == 4, "bbox_missing").when(v["kind"] == 3, "bbox_invalid_shape").when(x1.isNull() | y1.isNull() | x2.isNull() | y2.isNull(), "bbox_non_numeric").when(odd(x1) | odd(y1) | odd(x2) | odd(y2), "bbox_non_finite")
             .when((x1 < 0) | (y1 < 0) | (x2 > width) | (y2 > height) | (x2 <= x1) | (y2 <= y1), "bbox_out_of_bounds").when(share < least, "bbox_area_too_small").when(share > most, "bbox_area_too_large")
         )
-        return F.struct(v["box"].alias("box"), reason.alias("reason"))
+        return let(reason, lambda why: F.struct(F.when(why.isNull(), v["box"]).alias("box"), why.alias("reason")))
 
     out = let(let(shape, corners), judged)
-    return F.when(out["reason"].isNull(), out["box"]), out["reason"]
+    return out["box"], out["reason"]
 
 
 def box_score(box, confidence: Column, width: Column, height: Column) -> Column:

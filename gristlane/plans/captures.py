@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import policy as P
 from ..functions import scalars as S
 from ..operators import joins, metrics
+from ..sources import replies
 from ..sources.tables import table
 from .evaluation import _CLS, _ITEMS, _items
 from .labelling import _BOXES, _box, _boxes
@@ -172,12 +173,13 @@ _TASKS = {"label": ("label", "label_p", "confidence"), "dent": ("dent", "dent_p"
 
 def head_metrics(spark, sf_dir):
     """Accuracy, balanced accuracy and mean confidence of three heads over their own labelled rows."""
-    return metrics.head_scores(metrics.heads(_heads(spark, sf_dir), _TASKS))
+    s = metrics.head_scores(metrics.heads(_heads(spark, sf_dir), _TASKS))
+    return s.select("task", "n", *[F.round(c, 9).alias(c) for c in ("accuracy", "balanced_accuracy", "mean_confidence")])
 
 
 def model_selection(spark, sf_dir):
     """Mean balanced accuracy over the heads."""
-    return metrics.selection_score(head_metrics(spark, sf_dir))
+    return metrics.selection_score(head_metrics(spark, sf_dir)).select("heads", F.round("score", 8).alias("score"))
 
 
 def detector_gate(spark, sf_dir):
@@ -211,11 +213,24 @@ def drift_examples(spark, sf_dir):
     return near.orderBy("gap", "l_orderkey", "l_linenumber", "l_partkey").limit(25).select("l_orderkey", "l_linenumber", "l_partkey", "gap", crossed.alias("crossed"))
 
 
+def reply_reasons(spark, sf_dir):
+    """Teacher replies written from line items by what is wrong with them, and the heads that the others give."""
+    l = table(spark, sf_dir, "lineitem")
+    k, sure = F.col("l_partkey") % 7, F.col("l_quantity") / 40
+    said = F.get(F.array(*[F.lit(d) for d in replies.DECISIONS]), (F.col("l_suppkey") % 6).cast("int"))
+    short = F.concat(F.lit('{"d": "'), said, F.lit('", "s": true, "c": '), sure.cast("string"), F.lit(', "e": "'), F.when(k == 1, "odd").when(k == 2, "same_material_accessory").otherwise("label"), F.lit('"}'))
+    text = F.when(k == 0, F.lit('{"d": "both"}')).when(k == 3, F.concat(F.lit("```json\n"), short, F.lit("\n```"))).otherwise(short)
+    value, reason = replies.teacher_reply(text)
+    d = l.select(_name(F.col("l_orderkey")).alias("category"), F.struct(value.alias("v"), reason.alias("r")).alias("x"))
+    s = replies.accepted_status(F.col("x.v"), F.col("category"), 0.6)
+    return d.withColumn("s", s).groupBy(F.coalesce("x.r", F.lit("read")).alias("reason"), F.col("s.label").alias("label"), F.col("s.foreign_material").alias("foreign_material")).agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         snapshot_summary, snapshot_distributions, provider_usage, provider_cooldown, decision_cascade, llm_target, reviewed_import, box_ranking, background_states, box_parsing, eligible_rows, nested_fields, view_votes, head_metrics, model_selection,
-        detector_gate, candidate_gate, drift_examples,
+        detector_gate, candidate_gate, drift_examples, reply_reasons,
     )
 }
 
@@ -230,7 +245,7 @@ _HEADS = """h AS (SELECT l_quantity AS conf, CASE WHEN l_partkey % 4 <> 0 THEN l
         l_partkey % 9 AS m, (l_partkey + CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END) % 9 AS mp FROM lineitem),
     f AS (SELECT 'label' AS task, a AS t, ap AS p, conf FROM h WHERE a >= 0 UNION ALL SELECT 'dent', d, dp, conf FROM h WHERE d IS NOT NULL UNION ALL SELECT 'material', m, mp, conf FROM h),
     g AS (SELECT task, t, count(*) AS s, count(*) FILTER (WHERE t = p) AS k, sum(conf) AS c FROM f GROUP BY task, t),
-    s AS (SELECT task, sum(s)::BIGINT AS n, sum(k) / sum(s) AS accuracy, avg(k / s) AS balanced_accuracy, sum(c) / sum(s) AS mean_confidence FROM g GROUP BY task)"""
+    s AS (SELECT task, sum(s)::BIGINT AS n, round(sum(k) / sum(s), 9) AS accuracy, round(avg(k / s), 9) AS balanced_accuracy, round(sum(c) / sum(s), 9) AS mean_confidence FROM g GROUP BY task)"""
 
 ORACLE_SQL = {
     "snapshot_summary": f"""WITH {_CAPTURES}, q AS (SELECT *, has AND (greatest(0, x2 - x1) * greatest(0, y2 - y1) / 6000 >= 0.5 OR (x1 <= 1.0)::INT + (y1 <= 60.0::DOUBLE * 0.01)::INT + (x2 >= 99.0)::INT + (y2 >= 60.0::DOUBLE * 0.99)::INT >= 2) AS odd FROM c)
@@ -264,13 +279,17 @@ ORACLE_SQL = {
     "view_votes": """WITH x AS (SELECT vec_id, i, round((embedding[i]::DOUBLE + embedding[i + 32]::DOUBLE + embedding[33 - i]::DOUBLE) / 3, 2) AS v FROM embeddings, (SELECT unnest(range(1, 33)) AS i) WHERE len(embedding) = 64), t AS (SELECT *, max(v) OVER (PARTITION BY vec_id) AS top FROM x)
         SELECT vec_id, CASE WHEN count(*) FILTER (WHERE v = top) = 1 THEN min(i) FILTER (WHERE v = top) - 1 END::INT AS best, count(*) FILTER (WHERE v = top) > 1 AS tied FROM t GROUP BY vec_id""",
     "head_metrics": f"WITH {_HEADS} SELECT * FROM s",
-    "model_selection": f"WITH {_HEADS} SELECT count(*) AS heads, avg(balanced_accuracy) AS score FROM s",
+    "model_selection": f"WITH {_HEADS} SELECT count(*) AS heads, round(avg(balanced_accuracy), 8) AS score FROM s",
     "detector_gate": """WITH l AS (SELECT *, l_returnflag <> 'N' AS pos, l_partkey % 10 < 6 AS base, l_partkey % 10 < 7 AS cand FROM lineitem),
         r AS (SELECT avg((base = pos)::INT) FILTER (WHERE pos) AS bp, avg((cand = pos)::INT) FILTER (WHERE pos) AS cp, avg((base = pos)::INT) FILTER (WHERE NOT pos) AS bn, avg((cand = pos)::INT) FILTER (WHERE NOT pos) AS cn, count(*) FILTER (WHERE NOT pos AND cand AND l_suppkey % 40 = 0) AS high FROM l),
         c AS (SELECT cp >= bp - 0.01 AS base_recall_preserved, true AS base_map50_95_preserved, cp >= bp + 0.05 AS hardware_positive_accuracy_gain, cn > bn AS hardware_negative_specificity_improved, high = 0 AS no_high_confidence_negative_false_positive FROM r)
         SELECT *, base_recall_preserved AND base_map50_95_preserved AND hardware_positive_accuracy_gain AND hardware_negative_specificity_improved AND no_high_confidence_negative_false_positive AS passed FROM c""",
     "candidate_gate": """WITH p AS (SELECT (l_partkey % 9)::INT AS material, count(*) AS support, avg((l_linenumber < 7)::INT) AS r, avg((l_suppkey % 16 > 0)::INT) AS b FROM lineitem GROUP BY 1)
         SELECT material, support, round(r, 9) AS recall, array_to_string(list_filter([CASE WHEN support < 200 THEN 'support' END, CASE WHEN r + 1e-12 < 0.85 THEN 'recall' END, CASE WHEN b - r > 0.01 + 1e-12 THEN 'regression' END], lambda x: x IS NOT NULL), ',') AS failed FROM p""",
+    "reply_reasons": f"""WITH a AS (SELECT l_partkey % 7 AS k, l_quantity / 40 AS sure, list_extract(['neither','label_only','foreign_only','both','exclude','ambiguous'], (l_suppkey % 6)::INT + 1) AS said, list_extract({_LIST}, (l_orderkey % 9)::INT + 1) AS category FROM lineitem),
+        r AS (SELECT *, CASE WHEN k = 0 THEN 'unexpected_fields' WHEN k = 1 THEN 'invalid_evidence' WHEN sure > 1 THEN 'confidence_out_of_range' WHEN k = 2 AND said IN ('foreign_only', 'both') THEN 'accessory_foreign_conflict' ELSE 'read' END AS reason FROM a),
+        s AS (SELECT *, reason = 'read' AND said NOT IN ('exclude', 'ambiguous') AND sure >= 0.6 AS ok FROM r)
+        SELECT reason, CASE WHEN ok AND category IN ('pet', 'plastic') THEN (said IN ('label_only', 'both'))::INT ELSE -1 END AS label, CASE WHEN ok THEN (said IN ('foreign_only', 'both'))::INT ELSE -1 END AS foreign_material, count(*) AS n FROM s GROUP BY ALL""",
     "drift_examples": """WITH l AS (SELECT *, round(l_extendedprice / 50) * 50 AS d, round(abs(l_extendedprice - 20000), 6) AS gap FROM lineitem)
         SELECT l_orderkey, l_linenumber, l_partkey, gap, (d < 20000) <> (l_extendedprice < 20000) AS crossed FROM l WHERE (d < 20000) <> (l_extendedprice < 20000) OR abs(d - l_extendedprice) > 24.9 ORDER BY gap, l_orderkey, l_linenumber, l_partkey LIMIT 25""",
 }

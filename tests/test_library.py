@@ -274,3 +274,36 @@ def test_hours_and_age(spark):
     assert tuple(r) == (False, True, True, False)
     df = spark.range(10).select(F.col("id").alias("k"), F.lit(10).alias("size"))
     assert sorted(x.k for x in sampling.oldest_first_budget(df, "k", "size", "k", 1000, since=7).collect()) == [7, 8, 9]
+
+
+def test_teacher_replies(spark):
+    """Three shapes, and what is wrong with others."""
+    import json
+
+    from gristlane.sources import replies as R
+
+    full = {"decision": "both", "has_removable_label": True, "has_true_foreign_material": True, "same_material_accessory_only": False, "is_single_primary_item": True, "confidence": 0.9, "reason": "label"}
+    texts = [
+        json.dumps(full), "```json\n" + json.dumps(full) + "\n```", '{"d": "label_only", "s": true, "c": 1, "e": "label"}', '{"d": "x", "l": false, "f": true, "a": false, "s": true, "c": 0.5, "e": "contamination"}', '{"d": "exclude", "l": null, "f": null, "a": false, "s": false, "c": 0, "e": "unclear"}',
+        '{"d": "both", "l": null, "f": null, "a": false, "s": false, "c": 0, "e": "unclear"}', '{"d": "both", "s": true, "c": 2, "e": "label"}', '{"d": "both", "s": true, "c": "1", "e": "label"}', '{"d": "both", "s": 1, "c": 1, "e": "label"}', '{"d": "both", "s": true, "c": 1, "e": "why"}', '{"d": "maybe", "s": true, "c": 1, "e": "label"}',
+        '{"d": "both", "s": true, "c": 1, "e": "same_material_accessory"}', json.dumps(full | {"has_removable_label": False}), "[]", "not json", None, json.dumps(full | {"more": 1}),
+    ]
+    value, reason = R.teacher_reply(F.col("t"))
+    d = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", value.alias("v"), reason.alias("r"))
+    got = d.withColumn("s", R.accepted_status(F.col("v"), F.lit("pet"), 0.6)).withColumn("k", R.accepted_status(F.col("v"), F.lit("can"), 0.6)).orderBy("i").collect()
+    assert [r.r for r in got] == [None] * 5 + ["decision_flags_mismatch", "confidence_out_of_range", "confidence_not_numeric", "invalid_type", "invalid_evidence", "invalid_decision", "accessory_foreign_conflict", "decision_flags_mismatch", "unexpected_fields", "unexpected_fields", "unexpected_fields", "unexpected_fields"]
+    assert got[0].v == got[1].v and got[2].v.label is True and got[3].v.decision == "foreign_only" and got[4].v.label is None
+    assert [tuple(r.s) for r in got[:5]] == [(1, 1, 1), (1, 1, 1), (1, 0, 1), (-1, -1, 0), (-1, -1, 0)] and tuple(got[0].k) == (-1, 1, 1)
+
+
+def test_vision_replies(spark):
+    import json
+
+    from gristlane.sources import replies as R
+
+    good = {"material": "pet", "confidence": 0.7} | dict.fromkeys(R.FLAGS, True)
+    texts = [good, good | {"material": "empty_scene"}, good | {"material": "gold"}, good | {"confidence": True}, good | {"confidence": 1.1}, good | {"has_straw": 0}, {"material": "pet"}, good | {"x": 1}]
+    value, reason = R.vision_reply(F.col("t"), ["pet", "empty_scene"])
+    got = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(texts)], "i int, t string").select("i", value.alias("v"), reason.alias("r")).orderBy("i").collect()
+    assert [r.r for r in got] == [None, None, "invalid_material_or_confidence", "invalid_material_or_confidence", "confidence_out_of_range", "invalid_boolean", "contract_mismatch", "contract_mismatch"]
+    assert got[0].v.has_straw and not got[1].v.has_straw
