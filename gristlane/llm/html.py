@@ -25,6 +25,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import words as W
+
 #: tags whose content is never text
 RAW = frozenset(["script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "object"])
 VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"])
@@ -396,6 +398,7 @@ def extract(pages: DataFrame) -> DataFrame:
     pages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     kind = pages.schema["page_id"].dataType.simpleString()
 
+    @W.lean
     def run(batches):
         for batch in batches:
             texts = [main_text(x.as_py()) for x in batch.column(2)]

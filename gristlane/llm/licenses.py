@@ -49,6 +49,7 @@ def _templates(spark, k: int, templates: dict, phrases: dict) -> DataFrame:
 def _grams(k: int):
     """text -> a row for each word with the hashes of the pair and the k-gram that begin there; one more of place -1 with the number of words."""
 
+    @W.lean
     def run(batches):
         for batch in batches:
             first = 0
@@ -164,6 +165,7 @@ def _vote(k: int, drift: int, cover: float, names_of: dict[int, str]):
         flat = listed.flatten()
         return off, [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in flat.flatten()]
 
+    @W.lean
     def run(batches):
         for batch in batches:
             rows = [[] for _ in names[1:]]

@@ -71,6 +71,7 @@ def _first_min(g: np.ndarray, w: int) -> np.ndarray:
 def _segments(width: int, k: int, known: np.ndarray):
     """mapInArrow function: rows (doc_id, thash, text) -> segments; those of the ``known`` frequent anchors are hot."""
 
+    @W.lean
     def run(batches):
         for batch in batches:
             out = [[] for _ in range(4)]
@@ -111,6 +112,7 @@ def _classes():
     State is one class and, up to CROWD, the first ones of one anchor.
     """
 
+    @W.lean
     def run(batches):
         held = None  # rows of the anchor that may go on
         last = None  # (anchor, content) of the last row
@@ -305,6 +307,7 @@ def _resolve(width: int):
         pick = d[cut]
         return pa.RecordBatch.from_arrays([names[0].take(pa.array(pick)), names[1].take(pa.array(pick)), pa.array(p[cut].astype(np.int32)), pa.array(n.astype(np.int32))], ["doc_id", "thash", "start", "n"])
 
+    @W.lean
     def run(batches):
         held = None
         for batch in batches:
@@ -347,6 +350,7 @@ def _resolve(width: int):
 def _fetch(width: int):
     """Contents of wanted segments: (doc_id, thash, text, [anchor, start, n]) -> (anchor, doc_id, thash, start, raw)."""
 
+    @W.lean
     def run(batches):
         for batch in batches:
             anchor, row, start, raw = [], [], [], []
@@ -370,6 +374,7 @@ RAW = ["anchor", "doc_id", "thash", "start", "raw"]
 def _finer(width: int, k: int):
     """Segments of contents by wider anchors, as rows of RAW again; at ``k`` = width a segment is one window, known by a digest."""
 
+    @W.lean
     def run(batches):
         for batch in batches:
             anchor, row, start, raw = [], [], [], []
@@ -484,6 +489,7 @@ def _cut(width: int, text_out: bool):
             mark[min(size, s["start"] + s["n"] + width - 1)] -= 1
         return np.cumsum(mark[:-1]) > 0
 
+    @W.lean
     def digest(batches):
         for batch in batches:
             rows = [[], [], [], []]
@@ -497,6 +503,7 @@ def _cut(width: int, text_out: bool):
                 rows[3].append(hashlib.sha256(kept).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(r, pa.int64()) for r in rows[:3]), pa.array(rows[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
+    @W.lean
     def rewrite(batches):
         for batch in batches:
             at, sp = batch.schema.get_field_index("text"), batch.schema.get_field_index("__gl_spans")
