@@ -3,10 +3,13 @@
 The universe of shingle hashes is cut into segments; how many depends on the size band.  Two sets
 within Hamming distance H agree on one of any H + 1 segments, or come within one deletion on one of
 (H + 1) / 2.  Each set indexes its first non-empty segments, as many as its own H demands; short
-sets index one-deletion neighbourhoods of fewer, longer segments, which are more selective.
+sets index one-deletion neighbourhoods of all of their fewer, longer segments, which are more selective.
+There a segment counts from two members on: if the other set has neither it nor a set one deletion from
+both, it costs two changes.  One member is listed, as the other set's segment may count, but has no
+deletion, which would be empty.
 Allocation follows cost: a segment whose key is frequent gets nothing, and the spare segments pay
-for it.  Sets that run out of spare segments ("dominated" by frequent content; short sets have none to
-spare) meet all sets of their frequent keys, and those are compared block by block on parity sketches whose distance never
+for it.  Sets that run out of spare segments ("dominated" by frequent content) meet all sets of their
+frequent keys, and those are compared block by block on parity sketches whose distance never
 exceeds the sets' own, so nothing is lost.  What survives is verified on the full sets.
 
 Exact copies are one class from the start (their sets are equal), so a large group of copies is one
@@ -20,7 +23,6 @@ their own; a null id never names a component that holds another id.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,11 +87,11 @@ class Threshold:
         """Segments of a band, and 1 or 2: what an indexed segment is worth."""
         most = self.largest(int(BANDS[band + 1]) - 1) + 1
         worth = 2 if most <= 6 else 1
-        return int(-(-most // worth) * SLACK) + SPARE + 2, worth
+        return int(-(-most // worth) * SLACK) + SPARE + 2 * (worth == 1), worth
 
-    def short_bands(self) -> int:
-        """Bands below this one index one-deletion neighbourhoods."""
-        return next(b for b in range(len(BANDS) - 1) if self.segments(b)[1] == 1)
+
+#: set in a listed segment's number where it does not count
+LOOSE = 1 << 26
 
 
 def keys(x: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
@@ -105,24 +107,28 @@ def keys(x: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
         edge = np.minimum(np.arange(m + 1) * (2.0**64 / m), 2.0**64 - 2048).astype(U)
         c = np.searchsorted(x, edge)
         c[-1] = n
-        # the first non-empty segments in order: of two sets, the shorter run lies within the longer
-        full = np.flatnonzero(np.diff(c))[: int(need * SLACK) + SPARE]
-        # An empty segment is never a key.  A set with fewer non-empty ones than needed lists them all,
-        # and one key more under which such sets of its band meet.
-        spare = len(full) - need
+        full = np.flatnonzero(np.diff(c))
+        if worth == 1:
+            # the first non-empty segments in order: of two sets, the shorter run lies within the longer
+            full = full[: int(need * SLACK) + SPARE]
+        size = c[full + 1] - c[full]
+        # An empty segment is never a key.  A set with fewer segments that count than needed lists one key
+        # more, under which such sets of its band meet.
+        spare = int(np.count_nonzero(size >= worth)) - need
         content = sums[c[full + 1]] - sums[c[full]]
         tag = U(band << 32) + full.astype(U)
+        segment = full + np.where(size >= worth, 0, LOOSE)
         if worth == 2:
-            size = c[full + 1] - c[full]
-            seg = np.repeat(np.arange(len(full)), size)
-            of = np.concatenate([np.arange(c[j], c[j + 1]) for j in full]) if len(full) else np.zeros(0, int)
+            long_ = full[size > 1]
+            seg = np.repeat(np.flatnonzero(size > 1), size[size > 1])
+            of = np.concatenate([np.arange(c[j], c[j + 1]) for j in long_]) if len(long_) else np.zeros(0, int)
             content = np.concatenate([content, content[seg] - mixed[of]])
-            tag = np.concatenate([tag, tag[seg]])
+            tag, segment = np.concatenate([tag, tag[seg]]), np.concatenate([segment, segment[seg]])
         if spare < 0:
             content = np.append(content, U(0))
-            tag = np.append(tag, U((band << 32) + 0xFFFFFFF))
+            tag, segment = np.append(tag, U((band << 32) + 0xFFFFFFF)), np.append(segment, LOOSE - 1)
         got.append(W.mix(content * U(W.BASE) + tag * U(ODD)))
-        said.append((np.int64(band) << 44) | ((tag & U(0xFFFFFFF)).astype(np.int64) << 16) | np.int64(spare + 1000))
+        said.append((np.int64(band) << 44) | (segment.astype(np.int64) << 16) | np.int64(spare + 1000))
     if not got:
         return np.zeros(0, U), np.zeros(0, np.int64)
     return np.concatenate(got), np.concatenate(said)
@@ -162,6 +168,7 @@ def members(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, thash (the text's), sid (the set's), n and sketch of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    @W.lean
     def run(batches):
         for batch in batches:
             sid, n, sk = [], [], []
@@ -174,13 +181,14 @@ def members(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("thash"), "text").mapInArrow(run, f"doc_id {kind}, thash long, sid long, n long, sketch binary")
 
 
-def _emit(k: int, t: Threshold, known: np.ndarray, salts: int):
-    """mapInArrow function: text -> (part, key, sid, said); known: very frequent keys, spread over salts."""
+def _emit(k: int, t: Threshold, known: np.ndarray):
+    """mapInArrow function: text -> (key, sid, said); said is negative for the known, very frequent keys."""
 
+    @W.lean
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            parts, ks, ss, ds = [], [], [], []
+            ks, ss, ds = [], [], []
             for x in shingle_sets(batch.column(0), k):
                 if not len(x):
                     continue
@@ -194,18 +202,14 @@ def _emit(k: int, t: Threshold, known: np.ndarray, salts: int):
                 if not len(key):
                     continue
                 key = key.view(np.int64)
-                part = key
                 if len(known):
                     at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                    hot = known[at] == key
-                    part = np.where(hot, key + (sid % salts + 1) * 0x9E3779B9, key)
-                    said = np.where(hot, -said, said)
-                parts.append(part)
+                    said = np.where(known[at] == key, -said, said)
                 ks.append(key)
                 ss.append(np.full(len(key), sid))
                 ds.append(said)
             if ks:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (parts, ks, ss, ds)], ["part", "key", "sid", "said"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z)) for z in (ks, ss, ds)], ["key", "sid", "said"])
 
     return run
 
@@ -243,6 +247,7 @@ def _bucket(key, sid, said):
     return pa.RecordBatch.from_arrays([pa.array(z) for z in got], ["kind", "a", "b", "c"])
 
 
+@W.lean
 def _group(batches):
     """Stream over rows sorted by key; a group that goes on in the next batch is held back."""
     held = None
@@ -263,6 +268,7 @@ def _group(batches):
 def _survivors(t: Threshold):
     """Pairs with sketches that may be linked."""
 
+    @W.lean
     def run(batches):
         for batch in batches:
             a, b, na, nb = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
@@ -277,11 +283,11 @@ def _survivors(t: Threshold):
 def _blocks(t: Threshold, forest: bool):
     """Within a block pair of dominated sets: a forest over sets that may be linked, or all such pairs of different components."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, other = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        pdf = pdf.sort_values(["block", "sid"]).reset_index(drop=True)
-        sid, n, comp, block = (pdf[c].to_numpy() for c in ("sid", "n", "comp", "block"))
-        raw = [np.frombuffer(s, U) for s in pdf["sketch"]]
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("block", "ascending"), ("sid", "ascending")]).combine_chunks()
+        own, other = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
+        sid, n, comp, block = (rows.column(c).to_numpy() for c in ("sid", "n", "comp", "block"))
+        raw = [np.frombuffer(s.as_buffer(), U) for s in rows.column("sketch")]
         width = min(len(s) for s in raw)
         sk = np.stack([fold(s, width) for s in raw])
         out_a, out_b = [], []
@@ -309,12 +315,13 @@ def _blocks(t: Threshold, forest: bool):
         if not forest and out_a:
             out_a, out_b = np.concatenate(out_a), np.concatenate(out_b)
         a, b = np.array(out_a, np.int64), np.array(out_b, np.int64)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
 
 def _sets(k: int):
+    @W.lean
     def run(batches):
         for batch in batches:
             sid, need, raw = [], batch.column(1).to_numpy(zero_copy_only=False), []
@@ -328,6 +335,7 @@ def _sets(k: int):
 
 
 def _verify(t: Threshold):
+    @W.lean
     def run(batches):
         for batch in batches:
             a, b = batch.column(0), batch.column(1)
@@ -369,14 +377,14 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, salts: int
     docs = docs.select("doc_id", "text")
     rows = materialize(members(docs, k), "members")
     classes = materialize(rows.where("n > 0").groupBy("sid").agg(F.min(F.struct("doc_id", "thash")).alias("rep"), F.min("doc_id").alias("low"), F.max("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    schema = "part long, key long, sid long, said long"
+    schema = "key long, sid long, said long"
     texts = docs.select("text")
     few = texts.where(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0)
-    freq = few.mapInArrow(_emit(k, t, np.zeros(0, np.int64), 1), schema).groupBy("key").agg(F.count("*").alias("c")).where("c >= 6")
+    freq = few.mapInArrow(_emit(k, t, np.zeros(0, np.int64)), schema).groupBy("key").agg(F.count("*").alias("c")).where("c >= 6")
     # the most frequent keys of the sample, at most 4096: a bounded list
     known = np.sort(np.array([r[0] for r in freq.orderBy(F.desc("c"), "key").limit(4096).collect()], np.int64))
-    listed = texts.mapInArrow(_emit(k, t, known, salts), schema)
-    listed = listed.repartition(parts, "part").select("key", "sid", "said").sortWithinPartitions("key", "sid")
+    listed = texts.mapInArrow(_emit(k, t, known), schema)
+    listed = listed.repartition(parts, "key", F.when(F.col("said") < 0, F.pmod("sid", F.lit(salts)))).sortWithinPartitions("key", "sid")
     found = materialize(listed.mapInArrow(_group, "kind long, a long, b long, c long"), "found")
 
     cold = found.where("kind = 0").select("a", "b").distinct()
@@ -386,15 +394,18 @@ def join(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, salts: int
     cold = cold.select("a", "b", "na", "nb", "ka", "kb").mapInArrow(_survivors(t), "a long, b long")
 
     hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("sid"), F.shiftright("c", 44).alias("band"), F.expr("(c >> 16) & 268435455").alias("seg"), F.expr("(c & 65535) - 1000").alias("spare"))
-    # In a short band a segment of one member costs one change, not two, where the other set's is empty:
-    # a frequent key cannot be spared there.
-    dominated = hot.groupBy("sid", "band").agg(F.count_distinct("seg").alias("lost"), F.min("spare").alias("spare")).where((F.col("lost") > F.col("spare")) | (F.col("band") < t.short_bands())).select("sid", "band")
+    counts = F.col("seg") < LOOSE
+    dominated = hot.groupBy("sid", "band").agg(F.count_distinct(F.when(counts, F.col("seg"))).alias("lost"), F.min("spare").alias("spare")).where("lost > spare").select("sid", "band")
     # the other set of a pair may have keys to spare: all sets of a dominated set's frequent keys meet
-    shared = materialize(hot.join(dominated, ["sid", "band"], "left_semi").select("key").distinct(), "shared")
-    meet = materialize(hot.join(small(shared), "key", "left_semi").select("key", "sid").distinct(), "meet")
-    pivots = meet.groupBy("key").agg(F.min("sid").alias("p"), F.count("*").alias("c")).where("c > 1")
-    stars = meet.join(pivots, "key").select(F.col("p").alias("src"), F.col("sid").alias("dst")).distinct()
-    groups = materialize(connected_components(stars).select(F.col("node").alias("sid"), F.col("component").alias("grp")).join(info, "sid"), "groups")
+    shared = materialize(hot.where(counts | (F.col("spare") < 0)).join(dominated, ["sid", "band"], "left_semi").select("key").distinct(), "shared")
+    # Groups are closed over the keys of one size band, in which each linked pair has a common
+    # segmentation: sets of other sizes are not drawn in, and the sketches of a group have like widths.
+    meet = hot.join(small(shared), "key", "left_semi").select("key", "sid", F.xxhash64("sid", "band").alias("node")).distinct()
+    meet = materialize(meet, "meet")
+    pivots = meet.groupBy("key").agg(F.min("node").alias("p"), F.count("*").alias("c")).where("c > 1")
+    stars = meet.join(pivots, "key").select(F.col("p").alias("src"), F.col("node").alias("dst")).distinct()
+    groups = connected_components(stars).select("node", F.col("component").alias("grp")).join(meet.select("node", "sid").distinct(), "node").drop("node")
+    groups = materialize(groups.join(info, "sid"), "groups")
 
     pairs = materialize(cold.unionByName(_block_pairs(groups.withColumn("comp", F.col("sid")), t, not complete)).distinct(), "pairs")
     links = _links(docs, classes, pairs, k, t)
@@ -412,7 +423,7 @@ def _block_pairs(groups: DataFrame, t: Threshold, forest: bool) -> DataFrame:
     g = groups.join(open_, "grp").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     g = g.select("grp", "sid", "n", "sketch", "comp", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o"))
     g = g.withColumn("i", F.least("block", "o")).withColumn("j", F.greatest("block", "o"))
-    return g.groupBy("grp", "i", "j").applyInPandas(_blocks(t, forest), "a long, b long")
+    return g.groupBy("grp", "i", "j").applyInArrow(_blocks(t, forest), "a long, b long")
 
 
 def components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100) -> DataFrame:
