@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, shared_path
+from .sizes import small
 
 #: skippable frame of the WARC Zstandard format
 MAGIC = struct.pack("<I", 0x184D2A5D)
@@ -190,7 +191,7 @@ def write(pages: DataFrame, folder: str, least: int = 0, sample: int = 400, size
     dictionary = train([record(r["page_id"], r["url"], (p := (r["html"] or "").encode()), base32_sha1(p), None) for r in some], size)
     # of each payload that occurs again the page it is written for; combined before the shuffle
     again = rows.where(F.octet_length("html") >= least).groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("c")).where("c > 1 and original is not null")
-    again = materialize(again.select(F.col("digest").alias("d"), "original"), "repeated-payloads")
+    again = small(materialize(again.select(F.col("digest").alias("d"), "original"), "repeated-payloads"))
     joined = rows.join(again, (rows["digest"] == again["d"]) & (F.octet_length("html") >= least), "left")
     original = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("original")), F.col("original"))
     out = joined.select("page_id", "url", "html", "digest", original.alias("original"))
