@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +33,9 @@ def _solve(batches):
     frames = list(batches)
     if not frames:
         return
-    pdf = pd.concat(frames)
-    names, at = np.unique(np.concatenate([pdf["u"].to_numpy(), pdf["v"].to_numpy()]), return_inverse=True)
-    u, v = at[: len(pdf)], at[len(pdf) :]
+    ends = pa.Table.from_batches(frames).combine_chunks()
+    names, at = np.unique(np.concatenate([ends.column(c).to_numpy() for c in ("u", "v")]), return_inverse=True)
+    u, v = at[: len(ends)], at[len(ends) :]
     label = np.arange(len(names))
     while True:
         low = np.minimum(label[u], label[v])
@@ -48,7 +48,7 @@ def _solve(batches):
         if (new == label).all():
             break
         label = new
-    yield pd.DataFrame({"node": names, "component": names[label]})
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[label])], ["node", "component"])
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, one_task: int = 1_000_000) -> DataFrame:
@@ -65,7 +65,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     loops = pairs.where("a = b").select(F.col("a").alias("node"))
     kind = now.schema["u"].dataType.simpleString()
     if now.limit(one_task + 1).count() <= one_task:
-        found = materialize(now.coalesce(1).mapInPandas(_solve, f"node {kind}, component {kind}"), "components")
+        found = materialize(now.coalesce(1).mapInArrow(_solve, f"node {kind}, component {kind}"), "components")
         return found.union(loops.distinct().join(found, "node", "left_anti").select("node", F.col("node").alias("component")))
     for _ in range(max_rounds):
         if _stars(now):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 
 def stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files: int = 64) -> DataFrame:
@@ -23,6 +25,30 @@ def sessions(events: DataFrame, ts: str, by: str, gap: str, late: str = "1 hour"
     return s.select(by, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n")
 
 
+def cooldown(events: DataFrame, by: str, ts: str, failed: str, seconds: float = 300.0) -> DataFrame:
+    """(by, ts, failed, cooling): whether a provider failed within so many seconds before, across batches.
+
+    The state of a provider is the time of its last failure.  Rows of a trigger are taken in order of time;
+    a row that comes in a later trigger than a younger one sees failures up to its own time only if they were the last.
+    """
+    kinds = dict(events.dtypes)
+
+    def run(key, batches, state):
+        last = state.get[0] if state.exists else None
+        pdf = pd.concat(list(batches)).sort_values(ts, kind="stable")
+        at = pdf[ts].astype("datetime64[us]").astype("int64") / 1e6
+        fail = at.where(pdf[failed].astype(bool)).ffill().shift()
+        fail = fail if last is None else fail.fillna(last).where(lambda x: x >= last, last)
+        gap = at - fail
+        newest = at[pdf[failed].astype(bool)].max()
+        if pd.notna(newest):
+            state.update((float(newest if last is None else max(newest, last)),))
+        yield pd.DataFrame({by: key[0], ts: pdf[ts], failed: pdf[failed], "cooling": (gap > 0) & (gap <= seconds)})
+
+    out = f"{by} {kinds[by]}, {ts} {kinds[ts]}, {failed} boolean, cooling boolean"
+    return events.groupBy(by).applyInPandasWithState(run, out, "last double", "append", GroupStateTimeout.NoTimeout)
+
+
 def into(df: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Run a stream to a parquet folder until the files at hand are read."""
     return df.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).option("path", path).trigger(availableNow=True).start()

@@ -192,6 +192,21 @@ def test_streaming(spark, tmp_path):
     assert [(r.kind, r.n, r.total) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("a", 2, 3.0)]
 
 
+def test_streaming_cooldown(spark, tmp_path):
+    """A failure in one batch cools its provider in the next."""
+    from gristlane.streaming import usage
+
+    t = dt.datetime(2026, 1, 1)
+    rows = [("a", 0, True), ("a", 200, False), ("a", 301, False), ("b", 5, False), ("a", 400, True), ("a", 500, True), ("a", 790, False), ("b", 600, False), ("a", 801, False)]
+    df = spark.createDataFrame([(k, t + dt.timedelta(seconds=s), f) for k, s, f in rows], "kind string, ts timestamp, failed boolean")
+    for part, n in ((0, 4), (4, 9)):
+        spark.createDataFrame(df.collect()[part:n], df.schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    s = usage.cooldown(usage.stream(spark, str(tmp_path / "in"), df.schema, files=1), "kind", "ts", "failed")
+    usage.into(s, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    got = {(r.kind, int((r.ts - t).total_seconds())): r.cooling for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {("a", 0): False, ("a", 200): True, ("a", 301): False, ("b", 5): False, ("a", 400): False, ("a", 500): True, ("a", 790): True, ("b", 600): False, ("a", 801): False}
+
+
 def test_bbox_every_order(spark):
     """The box matching takes every order."""
     from gristlane.plans import evaluation
