@@ -7,8 +7,8 @@ with those siblings, its own and those of the boxes around it, that score well b
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left
 out before, by tag, role and class names.  A name alone is no proof: a container that holds most of the
-page's text or its first heading stays, and flags of a page's layout ("has-sidebar", "no-comments") are
-not names of furniture.
+text of a page without a marked article, or its first heading, stays, and flags of a page's layout
+("has-sidebar", "no-comments") are not names of furniture.
 
 Time is linear in the page: tokens are read once, sums are taken bottom-up, and elements below a depth
 of 500 are read as children of that depth.
@@ -263,22 +263,30 @@ def furnish(root: Node) -> list[Node]:
             heading.add(id(n.parent))
     doubted = {id(n) for n in nodes if n.doubt}
     whole = root.size - root.linked
-    # text outside of all doubted boxes
-    plain, stack = 0, [root]
+    # text outside of all doubted boxes, and as much of it as an article or main element marks
+    plain = marked = 0
+    stack = [(root, False)]
     while stack:
-        n = stack.pop()
-        plain += 0 if n.linked_to else sum(len(" ".join(k.split())) for k in n.kids if isinstance(k, str))
-        stack.extend(k for k in n.kids if not isinstance(k, str) and not k.bad and id(k) not in doubted)
+        n, inside = stack.pop()
+        inside = inside or n.tag in ("article", "main")
+        own = 0 if n.linked_to else sum(len(" ".join(k.split())) for k in n.kids if isinstance(k, str))
+        plain, marked = plain + own, marked + own * inside
+        stack.extend((k, inside) for k in n.kids if not isinstance(k, str) and not k.bad and id(k) not in doubted)
+    within = set()
     for n in nodes:
+        if n.tag in ("article", "main") or (n.parent is not None and id(n.parent) in within):
+            within.add(id(n))
         if not n.doubt:
             continue
         text = n.size - n.linked
         if n.doubt in (NAMED, COMMENTS) and id(n) in heading:
             continue
-        if n.doubt == COMMENTS:
+        if n.doubt == COMMENTS or n.tag == "aside":
             n.bad = whole - text > 0
+        elif n.tag in ("nav", "footer", "head"):
+            n.bad = True
         else:
-            n.bad = 2 * text <= whole or plain >= text or n.tag in ("nav", "footer", "head")
+            n.bad = 2 * text <= whole or plain >= text or (marked > 0 and id(n) not in within)
     nodes = _below(root)
     _sums(nodes)
     return nodes

@@ -362,6 +362,7 @@ def test_html_containers():
         f'<div class="content has-sidebar"><p>{text}</p></div>', f'<div class="post no-comments"><p>{text}</p></div>', f"<div data-u=/x/><p>{text}</p></div>", f"<a href=/>x</a><div><p>{text}</p></div>", f"<main><header>Head</header><p>{text}</p></main>",
         f'<form action="/"><p>{text}</p></form>', f'<body class="nav-open"><div id="sidebar-layout"><p>{text}</p></div></body>', f'<div><p>{text}</p></div><div class="sidebar-right"><p>other words</p></div>', f'<div><p>{text}</p></div><div id="comments"><p>{text} {text} {text}</p></div>',
         f"<article><p>{text}</p></article><aside><p>{text} {text}</p></aside>", f"<p title=it's>{text}</p>", f'<div><p>{text}</p></div><div hidden><p>{text} {text}</p></div>',
+        f'<article><p>{text}</p></article><div class="sidebar"><p>{text} {text} {text}</p></div>', f'<article><div class="widget-body"><p>{text}</p></div></article>', f"<aside><p>{text}</p></aside>",
     ):
         assert html.main_text(page) == text, page
     assert html.main_text(f"<article><header><h1>T</h1></header><p>{text}</p></article>") == f"T\n{text}"
