@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit, dedup, graph, joins, metrics, sampling, similarity
+from ..session import materialize
 from ..sources.tables import table
 from .curation import _COMP, _EDGES, _NEAR, _docs, _prints
 
@@ -67,7 +68,7 @@ def separation_report(spark, sf_dir):
 
 def graph_rebuild(spark, sf_dir):
     """A submitted near-duplicate graph against one built anew: missing and unexpected edges."""
-    rebuilt = similarity.hamming_join(_prints(spark, sf_dir), "vec_id", "v", _NEAR).select("left", "right", F.col("distance").cast("int").alias("distance"))
+    rebuilt = materialize(similarity.hamming_join(_prints(spark, sf_dir), "vec_id", "v", _NEAR).select("left", "right", F.col("distance").cast("int").alias("distance")), "graph")
     submitted = rebuilt.where("left % 10 <> 0").select("left", "right", F.when(F.col("left") % 7 == 0, F.col("distance") + 1).otherwise(F.col("distance")).alias("distance"))
     return audit.difference(rebuilt, submitted).groupBy("kind").agg(F.count("*").alias("n"))
 

@@ -52,3 +52,8 @@ def test_hamming_join_of_repeats(spark):
     df = spark.createDataFrame([*((i, _signed(v)) for i, v in enumerate(values)), (None, 0), (10**6, None)], "k long, v long")
     got = [tuple(r) for r in similarity.hamming_join(df, "k", "v", 7).collect()]
     assert len(got) == len(set(got)) and set(got) == _brute(values, 7)
+
+
+def test_graph_is_built_once(spark):
+    plan = provenance.graph_rebuild(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "embedding" not in plan
