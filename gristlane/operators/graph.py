@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,20 +54,46 @@ def _solve(batches):
     yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(names[label])], ["node", "component"])
 
 
+def _forests(size: int):
+    """Edges to (u, v) of each node and the smallest one that so many edges of its task lead to: as connected, at most one edge a node."""
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                rows += len(batch)
+            if held and (batch is None or rows >= size):
+                for found in _solve(held):
+                    kept = found.filter(pc.not_equal(found.column(0), found.column(1)))
+                    yield pa.RecordBatch.from_arrays(kept.columns, ["u", "v"])
+                held, rows = [], 0
+
+    return run
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, one_task: int = 1_000_000) -> DataFrame:
     """(node, component) of every node on an edge; the component is its smallest node.
 
     Alternates large-star and small-star steps until the edges are stars around their smallest
     node.  The work of a round is in proportion to the edges, a hub needs no row that holds its
     neighbours, and each round is a written table, so lost executors cost one round at most.
-    Up to ``one_task`` edges (counted first) are solved in one task instead, which saves the rounds.
+    Up to ``one_task`` edges (counted first) are solved in one task instead, which saves the rounds.  More are
+    solved so many at a time before, as long as that leaves half of them at most: an edge a node stays of each part.
     Null ends and self-loops: a node with only a self-loop is its own component, nulls are left out.
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     now = materialize(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     loops = pairs.where("a = b").select(F.col("a").alias("node"))
     kind = now.schema["u"].dataType.simpleString()
-    if now.limit(one_task + 1).count() <= one_task:
+    n = now.count()
+    while n > one_task > 0:
+        before = n
+        now = materialize(now.coalesce(-(-n // one_task)).mapInArrow(_forests(one_task), f"u {kind}, v {kind}"), "forests")
+        n = now.count()
+        if 2 * n > before:
+            break
+    if n <= one_task:
         found = materialize(now.coalesce(1).mapInArrow(_solve, f"node {kind}, component {kind}"), "components")
         return found.union(loops.distinct().join(found, "node", "left_anti").select("node", F.col("node").alias("component")))
     for _ in range(max_rounds):

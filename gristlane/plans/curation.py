@@ -159,7 +159,7 @@ def near_members(spark, sf_dir):
 def near_dup_clusters(spark, sf_dir):
     """Components of the Hamming join, and whether they hold several labels (blocking)."""
     p = _prints(spark, sf_dir)
-    comp = graph.connected_components(similarity.hamming_join(p, "vec_id", "v", _NEAR), "left", "right")
+    comp = graph.connected_components(similarity.hamming_links(p, "vec_id", "v", _NEAR), "left", "right")
     named = comp.join(p.select(F.col("vec_id").alias("node"), "label"), "node")
     return named.groupBy("component").agg(F.count("*").alias("n"), F.count_distinct("label").alias("labels"), S.stable_id("cluster_", 12, F.array_join(F.sort_array(F.collect_list(F.col("node"))).cast("array<string>"), ",")).alias("cluster_id")).withColumn("blocking", F.col("labels") > 1)
 

@@ -54,6 +54,30 @@ def test_hamming_join_of_repeats(spark):
     assert len(got) == len(set(got)) and set(got) == _brute(values, 7)
 
 
+def test_hamming_links(spark):
+    """A thousand equal values take a link each, and components are those of all pairs."""
+    values = _clustered(300) + [77] * 1000
+    df = spark.createDataFrame([(i, _signed(v)) for i, v in enumerate(values)], "k long, v long")
+    links = materialize(similarity.hamming_links(df, "k", "v", 7))
+    assert links.where("left >= 323").count() + links.where("right > 323").count() < 2000
+    want = graph.connected_components(spark.createDataFrame([p[:2] for p in _brute(values, 7)], "src long, dst long"))
+    assert {tuple(r) for r in graph.connected_components(links, "left", "right").collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_components_by_parts(spark, monkeypatch):
+    """Dense edges beyond one task are cut to a tree of each part; no round of stars is left."""
+    monkeypatch.setattr(graph, "_star", None)
+    edges = [(c * 100 + i, c * 100 + j) for c in range(5) for i in range(40) for j in range(i)] + [(5, 5), (1000, 1000)]
+    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "src long, dst long"), one_task=1000).collect()}
+    assert got == {**{c * 100 + i: c * 100 for c in range(5) for i in range(40)}, 1000: 1000}
+
+
+@pytest.mark.parametrize("query", [curation.near_dup_clusters])
+def test_components_list_no_pairs(spark, query, monkeypatch):
+    monkeypatch.setattr(similarity, "hamming_join", None)
+    assert query(spark, SF).count()
+
+
 def test_graph_is_built_once(spark):
     plan = provenance.graph_rebuild(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "embedding" not in plan
