@@ -72,7 +72,7 @@ def test_components_by_parts(spark, monkeypatch):
     assert got == {**{c * 100 + i: c * 100 for c in range(5) for i in range(40)}, 1000: 1000}
 
 
-@pytest.mark.parametrize("query", [curation.near_dup_clusters, curation.component_winners])
+@pytest.mark.parametrize("query", [curation.near_dup_clusters, curation.component_winners, provenance.separation_report])
 def test_components_list_no_pairs(spark, query, monkeypatch):
     monkeypatch.setattr(similarity, "hamming_join", None)
     assert query(spark, SF).count()
