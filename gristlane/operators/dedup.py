@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -56,16 +57,37 @@ def exclusion_reasons(df: DataFrame, key: str, reasons: dict[str, DataFrame]) ->
     return df.select(key).distinct().join(tagged, key).groupBy(key).agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons"), F.count_distinct("reason").alias("n"))
 
 
-def greedy_resolution(edges: DataFrame, left: str, right: str, winner: str, *order: str) -> DataFrame:
+def _sequence(left: str, right: str):
+    """Edges in their order to those that are taken, one after the other."""
+
+    def run(batches):
+        gone = set()
+        for batch in batches:
+            ends = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (left, right, "loser")]
+            kept = []
+            for i, (a, b, loser) in enumerate(zip(*ends)):
+                if a not in gone and b not in gone:
+                    gone.add(loser)
+                    kept.append(i)
+            yield batch.take(pa.array(kept, pa.int64()))
+
+    return run
+
+
+def greedy_resolution(edges: DataFrame, left: str, right: str, winner: str, *order: str, one_task: int = 1_000_000) -> DataFrame:
     """Edges that cost their other end its place, with that end as ``loser``: edges are taken in the given order, one with a dropped end is passed over, and of any other the end that is not the ``winner`` is dropped.
 
     The order must tell all edges apart.  In rounds: an edge that is first at both of its ends is
     taken, and all edges at its loser go; those of the winner wait for the next round.  An edge waits
-    only for earlier ones that share an end, so the rounds give what the sequence gives.
+    only for earlier ones that share an end, so the rounds give what the sequence gives.  As soon as at most
+    ``one_task`` edges are left (counted first), one task takes them one after the other, which saves the rounds.
     """
     rank = F.struct(*order)
     now, taken = materialize(edges.withColumn("loser", F.when(F.col(winner) == F.col(left), F.col(right)).otherwise(F.col(left))), "edges"), None
-    while now.limit(1).count():
+    while n := now.limit(one_task + 1).count():
+        if n <= one_task:
+            rest = materialize(now.coalesce(1).sortWithinPartitions(*order).mapInArrow(_sequence(left, right), now.schema), "taken")
+            return rest if taken is None else taken.unionByName(rest)
         first = now.select(rank.alias("r"), F.explode(F.array(left, right)).alias("e")).groupBy("e").agg(F.min("r").alias("m"))
         a, b = first.select(F.col("e").alias(left), F.col("m").alias("ma")), first.select(F.col("e").alias(right), F.col("m").alias("mb"))
         won = materialize(now.join(a, left).join(b, right).where((rank == F.col("ma")) & (rank == F.col("mb"))).select(*now.columns), "taken")

@@ -81,3 +81,19 @@ def test_components_list_no_pairs(spark, query, monkeypatch):
 def test_graph_is_built_once(spark):
     plan = provenance.graph_rebuild(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "embedding" not in plan
+
+
+@pytest.mark.parametrize("one_task", [20, 10**6])
+def test_greedy_resolution_in_one_task(spark, one_task, monkeypatch):
+    rng = random.Random(3)
+    edges = sorted({(rng.randint(0, 3), a, b) for a, b in (sorted(rng.sample(range(60), 2)) for _ in range(70))})
+    edges = list({(a, b): (d, a, b) for d, a, b in edges}.values())
+    df = spark.createDataFrame([(d, a, b, rng.choice((a, b))) for d, a, b in edges], "d int, l long, r long, w long")
+    gone, want = set(), set()
+    for d, a, b, w in sorted(tuple(r) for r in df.collect()):
+        if not {a, b} & gone:
+            gone.add(a + b - w)
+            want.add((a, b, a + b - w))
+    if one_task == 10**6:
+        monkeypatch.setattr(dedup.F, "explode", None)  # no round
+    assert {(r.l, r.r, r.loser) for r in dedup.greedy_resolution(df, "l", "r", "w", "d", "l", "r", one_task=one_task).collect()} == want
