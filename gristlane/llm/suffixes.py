@@ -21,6 +21,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
@@ -347,6 +348,27 @@ def _resolve(width: int):
     return run
 
 
+def _packed(base: DataFrame) -> DataFrame:
+    """(doc_id, thash, text) with each text compressed, for joins that shuffle whole texts."""
+
+    @W.lean
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            texts = [None if t is None else pack.compress(t.encode()) for t in (x.as_py() for x in batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], ["doc_id", "thash", "text"])
+
+    return base.mapInArrow(run, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, thash long, text binary")
+
+
+def _texts(column: pa.Array):
+    """The bytes of each text, compressed or not; a null is empty."""
+    unpack = zstandard.ZstdDecompressor() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else None
+    for x in column:
+        text = x.as_py()
+        yield b"" if text is None else unpack.decompress(text) if unpack else text.encode()
+
+
 def _fetch(width: int):
     """Contents of wanted segments: (doc_id, thash, text, [anchor, start, n]) -> (anchor, doc_id, thash, start, raw)."""
 
@@ -355,8 +377,7 @@ def _fetch(width: int):
         for batch in batches:
             anchor, row, start, raw = [], [], [], []
             wanted = batch.column(3).to_pylist()
-            for i, text in enumerate(batch.column(2)):
-                b = (text.as_py() or "").encode()
+            for i, b in enumerate(_texts(batch.column(2))):
                 for w in wanted[i]:
                     anchor.append(w["anchor"])
                     row.append(i)
@@ -469,7 +490,8 @@ def repeated(docs: DataFrame, width: int = 100, k: int = K, salts: int = 64, sam
     def contents(which: DataFrame) -> DataFrame:
         # of one text, so no more than its own segments; most texts have some, so the texts are dealt by id beside them
         per = which.groupBy(F.col("doc_id").alias("d"), F.col("thash").alias("h")).agg(F.collect_list(F.struct("anchor", "start", "n")).alias("w"))
-        texts = base.join(per, base["doc_id"].eqNullSafe(per["d"]) & (base["thash"] == per["h"])).select("doc_id", "thash", "text", "w")
+        packed = _packed(base)
+        texts = packed.join(per, packed["doc_id"].eqNullSafe(per["d"]) & (packed["thash"] == per["h"])).select("doc_id", "thash", "text", "w")
         return texts.mapInArrow(_fetch(width), f"anchor long, doc_id {kind}, thash long, start int, raw binary")
 
     out = later.unionByName(_ordered(contents(wanted.where("not crowded")), width, parts, kind))
@@ -493,8 +515,7 @@ def _cut(width: int, text_out: bool):
     def digest(batches):
         for batch in batches:
             rows = [[], [], [], []]
-            for text, spans in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
-                b = (text.as_py() or "").encode()
+            for b, spans in zip(_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 gone = covered(len(b), spans) if spans else np.zeros(len(b), bool)
                 kept = np.frombuffer(b, np.uint8)[~gone].tobytes() if spans else b
                 rows[0].append(len(b))
@@ -530,13 +551,20 @@ def _merge(runs, x):
     return F.when(touches, F.concat(F.slice(runs, 1, F.size(runs) - 1), F.array(joined))).otherwise(F.concat(runs, F.array(x)))
 
 
-def _with_spans(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """docs with __gl_spans: the runs of windows to remove, null where there are none."""
+def _with_spans(docs: DataFrame, width: int, k: int, pack: bool = False) -> DataFrame:
+    """docs with __gl_spans: the runs of windows to remove, null where there are none.
+
+    ``pack``: docs are (doc_id, text), and their texts come back compressed where the join shuffles them.
+    """
     found = materialize(repeated(docs, width, k), "repeated")
     # of one text, so no more than its own windows; runs that touch become one
     per = found.groupBy("doc_id", "thash").agg(F.sort_array(F.collect_set(F.struct("start", F.col("n").alias("n")))).alias("r"))
     per = per.select(F.col("doc_id").alias("__gl_d"), F.col("thash").alias("__gl_h"), F.aggregate("r", F.array().cast("array<struct<start:int,n:int>>"), _merge).alias("__gl_spans"))
-    per = small(materialize(per, "spans"), weight="2 + size(__gl_spans)")
+    written = materialize(per, "spans")
+    per = small(written, weight="2 + size(__gl_spans)")
+    if pack and per is written:
+        packed = _packed(docs.select("doc_id", F.xxhash64("text").alias("thash"), "text"))
+        return packed.join(per, packed["doc_id"].eqNullSafe(F.col("__gl_d")) & packed["thash"].eqNullSafe(F.col("__gl_h")), "left").drop("__gl_d", "__gl_h", "thash")
     return docs.join(per, docs["doc_id"].eqNullSafe(F.col("__gl_d")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__gl_h")), "left").drop("__gl_d", "__gl_h")
 
 
@@ -544,7 +572,7 @@ def digests(docs: DataFrame, width: int = 100, k: int = K) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = _with_spans(docs, width, k).select("doc_id", "text", "__gl_spans")
+    rows = _with_spans(docs, width, k, pack=True).select("doc_id", "text", "__gl_spans")
     return rows.mapInArrow(_cut(width, False), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
