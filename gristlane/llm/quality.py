@@ -1,8 +1,9 @@
 """Quality classifier: Bradley-Terry pairwise ranking over features of whole texts.
 
 Preference pairs (a text labelled 1 beats a text labelled 0) are fitted by logistic loss on the
-difference of their features; scores are then cut at a quantile.  Labels are read for a bounded
-sample of rows (``max_labelled``), every text is scored by one pass without a shuffle.
+difference of their features; scores are then cut at a quantile.  Every labelled row is learned from:
+up to ``max_labelled`` of them on the driver, more in groups on the executors, of which each step of the
+fit gathers sums.  Every text is scored by one pass without a shuffle.
 
 Defined cases: a null or empty text has zero features and still gets a score; rows that repeat an
 id are scored each; of rows that repeat a labelled id one is learned from; a null id is never held out;
@@ -19,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import words as W
+from .sizes import small
 
 #: byte classes for counting
 CLASSES = 16
@@ -154,15 +157,115 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _sums(df: DataFrame, part) -> np.ndarray:
+    """The sum of what ``part`` makes of the batches, one array a task; tasks are added in one order always."""
+
+    @W.lean
+    def run(batches):
+        total = None
+        for batch in batches:
+            got = part(batch)
+            total = got if total is None else total + got
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
+
+    return np.sum([np.frombuffer(b) for b in sorted(bytes(r[0]) for r in df.mapInArrow(run, "s binary").collect())], 0)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, FEATURES)
+
+
+def _quantiles(scores: DataFrame, n: int, qs: list[float], low: float, high: float, bins: int = 4096, rounds: int = 4) -> list[float]:
+    """The order statistics below the quantiles, by counts in ever finer bins."""
+    ends, ranks = [(low, high)] * len(qs), [int(q * (n - 1)) for q in qs]
+    for _ in range(rounds):
+        edges = [np.linspace(a, b, bins + 1) for a, b in ends]
+        count = _sums(scores, lambda b, edges=edges: np.concatenate([np.bincount(np.searchsorted(e[1:-1], b.column(0).to_numpy()), minlength=bins) for e in edges]).astype(float)).reshape(len(qs), -1)
+        at = [int(np.searchsorted(np.cumsum(c), r, "right")) for c, r in zip(count, ranks)]
+        # rows below the range are in the first bin, so counts of all rows keep their ranks
+        ends = [(float(e[a]), float(e[a + 1])) for e, a in zip(edges, at)]
+    return [(a + b) / 2 for a, b in ends]
+
+
+def _fit_groups(rows: DataFrame, at: float, l2: float = 1e-3, steps: int = 25, seed: int = 7, size: int = 512, pairs: int = 8) -> Model:
+    """``bradley_terry`` on all rows (doc_id, quality, x), too many for the driver.
+
+    They are dealt to groups of about ``size``; of the rarer kind each row goes to as many as give each group
+    64 of them.  Of a group each row of the larger kind stands in ``pairs`` pairs, each of the other in as many at least.
+    """
+    stat = _sums(rows, lambda b: np.concatenate([[len(b), b.column(1).to_numpy().sum()], (x := _matrix(b.column(2))).sum(0), (x * x).sum(0)]))
+    n, good = int(stat[0]), int(stat[1])
+    mean = stat[2 : 2 + FEATURES] / n
+    model = Model(mean, np.sqrt(np.maximum(stat[2 + FEATURES :] / n - mean**2, 0)) + 1e-6, np.zeros(2 * FEATURES), 0.0, at)
+    if good in (0, n):
+        return model
+    many = -(-n // size)
+    copies = {k: min(many, -(-64 * many // c)) for k, c in ((1, good), (0, n - good))}
+    j = F.explode(F.sequence(F.lit(0), F.when(F.col("quality") == 1, copies[1] - 1).otherwise(copies[0] - 1))).alias("j")
+    dealt = rows.select("doc_id", "quality", "x", j)
+    step = F.when(F.col("quality") == 1, many // copies[1]).otherwise(many // copies[0])
+    dealt = dealt.select(F.pmod(F.xxhash64("doc_id") + F.col("j") * step, F.lit(many)).alias("g"), "quality", "x")
+    groups = materialize(dealt.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("quality", "x"))).alias("r")), "groups")
+
+    def newton(w):
+        def part(batch):
+            out = np.zeros(1 + len(w) + len(w) ** 2)
+            for g, members in zip(batch.column(0).to_pylist(), batch.column(1)):
+                y, z = members.values.field(0).to_numpy(), model.inputs(_matrix(members.values.field(1)))
+                kinds = [np.flatnonzero(y == 1), np.flatnonzero(y == 0)]
+                most = pairs * max(map(len, kinds))
+                if not min(map(len, kinds)):
+                    continue
+                rng = np.random.default_rng([seed, g])
+                a, b = (np.concatenate([rng.permutation(k) for _ in range(-(-most // len(k)))])[:most] for k in kinds)
+                d = z[a] - z[b]
+                p = 1 / (1 + np.exp(-np.clip(d @ w, -30, 30)))
+                out += np.concatenate([[most], d.T @ (p - 1), ((d * (p * (1 - p))[:, None]).T @ d).ravel()])
+            return out
+
+        return part
+
+    w = np.zeros(2 * FEATURES)
+    for _ in range(steps):  # as in bradley_terry
+        got = _sums(groups, newton(w))
+        grad = got[1 : 1 + len(w)] / got[0] + l2 * w
+        hess = got[1 + len(w) :].reshape(len(w), -1) / got[0] + l2 * np.eye(len(w))
+        move = np.linalg.solve(hess, grad)
+        w = w - move
+        if np.abs(move).max() < 1e-6:
+            break
+
+    def scored(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(model.inputs(_matrix(b.column(2))) @ w)], ["s"])
+
+    scores = materialize(rows.mapInArrow(scored, "s double"), "label-scores")
+    low, high = scores.agg(F.min("s"), F.max("s")).first()
+    q = (n - good) / n
+    a, b, c = _quantiles(scores, n, [max(q - 0.01, 0), min(q + 0.01, 1), q], low, high)
+    return Model(mean, model.scale, w, c if b - a < 1e-9 else (a + b) / 2, at)
+
+
 def fit(docs: DataFrame, labels: DataFrame, at: float = 0.3, max_labelled: int = 8192, **kw) -> Model:
-    """Learn from at most ``max_labelled`` labelled rows that are not held out, taken in hash order."""
+    """Learn from all labelled rows that are not held out; more than ``max_labelled`` (counted first) stay on the executors."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"), F.max(F.col("quality").cast("int")).alias("_q")).where("quality = _q")
-    sample = known.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    known = small(materialize(known.select("doc_id", "quality"), "labels"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "quality").mapInArrow(_feature_rows, f"doc_id {kind}, quality int, x array<double>")
-    # a row an id, so no more than max_labelled
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("quality", "x")).alias("r")).select("r.*").toPandas()
+    rows = docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "quality").mapInArrow(_feature_rows, f"doc_id {kind}, quality int, x array<double>")
+    # a row an id
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("quality", "x")).alias("r")).select("doc_id", "r.*")
+    rows = materialize(rows.sortWithinPartitions("doc_id"), "labelled")
+    if rows.count() > max_labelled:
+        conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(name)
+        conf.set(name, "64")  # a group is a row
+        try:
+            return _fit_groups(rows, at, **kw)
+        finally:
+            conf.set(name, before)
+    rows = rows.select("quality", "x").toPandas()
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), -1) if len(rows) else np.zeros((0, FEATURES))
     order = np.lexsort((*x.T, rows["quality"].to_numpy())) if len(rows) else []  # rows arrive in any order
     return bradley_terry(x[order], rows["quality"].to_numpy()[order], at, **kw)
